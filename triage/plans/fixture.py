@@ -17,9 +17,10 @@ from triage.operators.silver import to_silver
 from triage.schema import SILVER_COLUMNS
 from triage.sources.mailbox import mailbox_view
 
-# target: 10*uid <= 4*lo + 6*hi   batch: 10*uid > 6*lo + 4*hi
-TARGET_UPPER = (4, 6)
-BATCH_LOWER = (6, 4)
+# Fractions of the UID range, in thousandths: the target ends at 600, the
+# batch starts at 400 (20 % overlap).
+TARGET_END = 600
+BATCH_START = 400
 
 
 def uid_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
@@ -29,16 +30,16 @@ def uid_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
     return lo, hi
 
 
-def in_target(spark, sf_dir) -> Column:
+def in_target(spark, sf_dir, end: int = TARGET_END) -> Column:
+    """``uid <= lo + end/1000 * (hi - lo)`` in exact integer arithmetic."""
     lo, hi = uid_bounds(spark, sf_dir)
-    a, b = TARGET_UPPER
-    return F.col("uid") * 10 <= lo * a + hi * b
+    return F.col("uid") * 1000 <= lo * (1000 - end) + hi * end
 
 
-def in_batch(spark, sf_dir) -> Column:
+def in_batch(spark, sf_dir, start: int = BATCH_START) -> Column:
+    """``uid > lo + start/1000 * (hi - lo)``."""
     lo, hi = uid_bounds(spark, sf_dir)
-    a, b = BATCH_LOWER
-    return F.col("uid") * 10 > lo * a + hi * b
+    return F.col("uid") * 1000 > lo * (1000 - start) + hi * start
 
 
 def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,14 +47,14 @@ def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(mailbox_view(spark, sf_dir), keep=("uid", "mailbox"))
 
 
-def target_rows(spark, sf_dir) -> DataFrame:
-    return silver_rows(spark, sf_dir).where(in_target(spark, sf_dir))
+def target_rows(spark, sf_dir, end: int = TARGET_END) -> DataFrame:
+    return silver_rows(spark, sf_dir).where(in_target(spark, sf_dir, end))
 
 
-def target_gold(spark, sf_dir) -> DataFrame:
+def target_gold(spark, sf_dir, end: int = TARGET_END) -> DataFrame:
     """The existing keyed table: last target row per key, flag false."""
-    return latest_per_key(target_rows(spark, sf_dir).select(*SILVER_COLUMNS))
+    return latest_per_key(target_rows(spark, sf_dir, end).select(*SILVER_COLUMNS))
 
 
-def batch_rows(spark, sf_dir) -> DataFrame:
-    return silver_rows(spark, sf_dir).where(in_batch(spark, sf_dir))
+def batch_rows(spark, sf_dir, start: int = BATCH_START) -> DataFrame:
+    return silver_rows(spark, sf_dir).where(in_batch(spark, sf_dir, start))

@@ -224,8 +224,8 @@ DEDUP_ORDER = ("TRY_CAST(trim(email_uid) AS BIGINT) DESC NULLS LAST, scraped_at
 
 STATE = f"""
 {BOUNDS},
-trows AS (SELECT sv.* FROM sv, bounds WHERE sv.uid * 10 <= bounds.lo * 4 + bounds.hi * 6),
-brows AS (SELECT sv.* FROM sv, bounds WHERE sv.uid * 10 > bounds.lo * 6 + bounds.hi * 4),
+trows AS (SELECT sv.* FROM sv, bounds WHERE sv.uid * 1000 <= bounds.lo * 400 + bounds.hi * 600),
+brows AS (SELECT sv.* FROM sv, bounds WHERE sv.uid * 1000 > bounds.lo * 600 + bounds.hi * 400),
 tg AS (SELECT {_cols} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn FROM trows) WHERE _rn = 1),
 bd AS (SELECT {_cols} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn FROM brows) WHERE _rn = 1),
 merged AS (
@@ -356,7 +356,7 @@ _kw_any_sql = " OR ".join(f"contains(lower(coalesce(subject, '')), {q(k)})" for
 
 RUN = f"""
 {BOUNDS},
-trows AS (SELECT sv.* FROM sv, bounds WHERE sv.uid * 10 <= bounds.lo * 4 + bounds.hi * 6),
+trows AS (SELECT sv.* FROM sv, bounds WHERE sv.uid * 1000 <= bounds.lo * 400 + bounds.hi * 600),
 tg AS (SELECT {_cols} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn FROM trows) WHERE _rn = 1),
 marks AS (SELECT mailbox, max(uid) AS last_uid FROM trows GROUP BY mailbox),
 fetched AS (

@@ -7,7 +7,6 @@ equal those of the matching oracle SQL.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +24,7 @@ from triage.operators import search as sr
 from triage.operators.silver import quarantine_missing_id, to_silver
 from triage.plans import fixture as fx
 from triage.schema import BRONZE_SCHEMA, SILVER_COLUMNS
-from triage.session import prepare
+from triage.session import prepare, spread
 from triage.sources import handoff, mime
 from triage.sources.mailbox import mailbox_view
 
@@ -36,7 +35,7 @@ ALERT_LIMIT = 50
 
 def _read(spark, sf_dir, name) -> DataFrame:
     prepare(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # -- sources and selection ---------------------------------------------------
@@ -285,5 +284,3 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = silver_messages(spark, sf_dir)
     return s.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
-
-_ = reduce  # kept for callers composing queries

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triage.schema import BRONZE_SCHEMA, RAW_SCHEMA
-from triage.session import prepare
+from triage.session import prepare, spread
 
 # Fixture values of the derived mailbox (see FIXTURES.md, section 3).
 FIXTURE_DOMAINS = ["grab.com", "careers.stripe.co.uk", "credit-karma.com",
@@ -79,8 +79,8 @@ def mailbox_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", "user_id", "event_type")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    ev = ev.withColumn("doc_key", F.try_mod(F.col("event_id"), n_docs))
-    j = ev.join(docs, ev["doc_key"] == docs["doc_id"], "inner")
+    ev = spread(ev.withColumn("doc_key", F.try_mod(F.col("event_id"), n_docs)), "doc_key")
+    j = ev.join(spread(docs, "doc_id"), ev["doc_key"] == docs["doc_id"], "inner")
 
     e = F.col("event_id")
     uid = e + 1
