@@ -22,7 +22,6 @@ from pyspark.sql import functions as F  # noqa: E402
 from triage.operators import merge as mg  # noqa: E402
 from triage.plans import fixture as fx  # noqa: E402
 from triage.plans.queries import QUERIES  # noqa: E402
-from triage.schema import SILVER_COLUMNS  # noqa: E402
 from triage.session import builder  # noqa: E402
 
 
@@ -32,9 +31,7 @@ def upsert_at(overlap_thousandths: int):
     half = overlap_thousandths // 2
 
     def q(spark, d):
-        tgt = fx.target_gold(spark, d, end=500 + half)
-        bat = fx.batch_rows(spark, d, start=500 - half).select(*SILVER_COLUMNS)
-        return mg.merge(tgt, bat)
+        return mg.merge_tagged(fx.tagged_rows(spark, d, end=500 + half, start=500 - half))
 
     return q
 

@@ -34,8 +34,14 @@ DATE_PATTERN = (
 )
 
 
-def _g(s: Column, i: int) -> Column:
-    return F.regexp_extract(s, DATE_PATTERN, i)
+SEP = "\u0001"
+
+
+def _parts(s: Column) -> Column:
+    """All nine groups in one regex pass: a match is rewritten to
+    ``SEP g1 SEP g2 ... SEP g9`` and split; a non-match stays as it was."""
+    repl = "".join(f"{SEP}${i}" for i in range(1, 10))
+    return F.split(F.regexp_replace(s, DATE_PATTERN, repl), SEP)
 
 
 def zone_offset_minutes(zone: Column) -> Column:
@@ -53,22 +59,23 @@ def zone_offset_minutes(zone: Column) -> Column:
 
 def parse_rfc2822(c) -> Column:
     """RFC 2822 ``Date`` header to UTC TIMESTAMP_NTZ, NULL on failure."""
-    s = F.coalesce(_col(c), F.lit(""))
-    day = F.when(_g(s, 1) != "", _g(s, 1)).otherwise(_g(s, 4)).try_cast("int")
-    mon_name = F.lower(F.when(_g(s, 2) != "", _g(s, 2)).otherwise(_g(s, 3)))
+    p = _parts(F.coalesce(_col(c), F.lit("")))
+    ok = (F.size(p) == 10) & (F.try_element_at(p, F.lit(1)) == "")
+
+    def g(i: int) -> Column:
+        return F.try_element_at(p, F.lit(i + 1))
+
+    day = F.when(g(1) != "", g(1)).otherwise(g(4)).try_cast("int")
+    mon_name = F.lower(F.when(g(2) != "", g(2)).otherwise(g(3)))
     pos = F.array_position(F.array(*[F.lit(m) for m in MONTHS_SHORT + MONTHS_LONG]), mon_name)
     month = F.when(pos > 0, ((pos - 1) % 12 + 1).cast("int"))
-    yy = _g(s, 5).try_cast("int")
+    yy = g(5).try_cast("int")
     year = (F.when(yy < 100, F.when(yy > 68, yy + 1900).otherwise(yy + 2000))
             .otherwise(yy))
-    hour = _g(s, 6).try_cast("int")
-    minute = _g(s, 7).try_cast("int")
-    sec = F.when(_g(s, 8) == "", F.lit(0)).otherwise(_g(s, 8).try_cast("int"))
-    local = F.try_make_timestamp_ntz(year, month, day, hour, minute,
+    sec = F.when(g(8) == "", F.lit(0)).otherwise(g(8).try_cast("int"))
+    local = F.try_make_timestamp_ntz(year, month, day, g(6).try_cast("int"), g(7).try_cast("int"),
                                      F.when(sec < 60, sec).cast("decimal(16,6)"))
-    offset = zone_offset_minutes(_g(s, 9))
-    return F.when(s.rlike(DATE_PATTERN),
-                  F.timestamp_add("MINUTE", -offset, local))
+    return F.when(ok, F.timestamp_add("MINUTE", -zone_offset_minutes(g(9)), local))
 
 
 def parse_iso(c) -> Column:

@@ -22,23 +22,47 @@ from triage.schema import SUBJECT_PATTERNS
 FLAGS = "(?iUd)"
 
 
-def _candidates(subject: Column):
-    out = []
-    for pattern, pos_group, comp_group in SUBJECT_PATTERNS:
-        p = FLAGS + pattern
-        pos = py_strip(F.regexp_extract(subject, p, pos_group))
-        comp = py_strip(F.regexp_extract(subject, p, comp_group))
-        out.append((pos, comp))
+SEP = "\u0001"
+
+
+def candidate_columns(subject) -> dict[str, Column]:
+    """``_p1, _c1 .. _p4, _c4``: stripped (position, company) groups of every
+    pattern, each pattern run once. A match is rewritten to ``SEP pos SEP
+    company``; the lazy ``(?s:.*?)`` prefix finds the leftmost match, as a
+    regex search does. No match leaves the subject as it was (no ``SEP``)."""
+    subj = F.coalesce(_col(subject), F.lit(""))
+    out = {}
+    for i, (pattern, pos_group, comp_group) in enumerate(SUBJECT_PATTERNS, start=1):
+        wrapped = FLAGS + "^(?s:.*?)(?:" + pattern + ")(?s:.*)$"
+        parts = F.split(F.regexp_replace(subj, wrapped, f"{SEP}${pos_group}{SEP}${comp_group}"), SEP)
+        hit = (F.size(parts) == 3) & (F.try_element_at(parts, F.lit(1)) == "")
+        out[f"_p{i}"] = F.when(hit, py_strip(F.try_element_at(parts, F.lit(2)))).otherwise(F.lit(""))
+        out[f"_c{i}"] = F.when(hit, py_strip(F.try_element_at(parts, F.lit(3)))).otherwise(F.lit(""))
     return out
 
 
-def position_and_company(subject, sender) -> tuple[Column, Column]:
-    """Return ``(position, company_name)`` columns."""
+def choose(subject, sender, cands: dict[str, Column] | None = None) -> tuple[Column, Column]:
+    """``(position, company_name)`` from the candidate columns (by default the
+    columns ``_p1 .. _c4`` of a frame made with ``with_candidates``)."""
+    n = len(SUBJECT_PATTERNS)
+    c = cands or {f"_{k}{i}": F.col(f"_{k}{i}") for i in range(1, n + 1) for k in "pc"}
     subj = F.coalesce(_col(subject), F.lit(""))
-    fallback = company_from_domain(sender_domain(sender))
     pos_expr = comp_expr = None
-    for pos, comp in _candidates(subj):
-        hit = (pos != "") & (comp != "")
-        pos_expr = F.when(hit, pos) if pos_expr is None else pos_expr.when(hit, pos)
-        comp_expr = F.when(hit, comp) if comp_expr is None else comp_expr.when(hit, comp)
-    return pos_expr.otherwise(py_strip(subj)), comp_expr.otherwise(fallback)
+    for i in range(1, n + 1):
+        p, k = c[f"_p{i}"], c[f"_c{i}"]
+        hit = (p != "") & (k != "")
+        pos_expr = F.when(hit, p) if pos_expr is None else pos_expr.when(hit, p)
+        comp_expr = F.when(hit, k) if comp_expr is None else comp_expr.when(hit, k)
+    return (pos_expr.otherwise(py_strip(subj)),
+            comp_expr.otherwise(company_from_domain(sender_domain(sender))))
+
+
+def position_and_company(subject, sender) -> tuple[Column, Column]:
+    """Return ``(position, company_name)`` columns in one expression."""
+    return choose(subject, sender, candidate_columns(subject))
+
+
+def with_candidates(df, subject: str = "subject"):
+    """Add the candidate columns in their own projection, so that each
+    pattern is evaluated once per row however often ``choose`` reads it."""
+    return df.withColumns(candidate_columns(F.col(subject)))

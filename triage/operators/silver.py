@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triage.functions import (
-    classify_status, head, normalize_text, parse_iso, parse_rfc2822, position_and_company,
-    py_strip, sender_domain,
+    classify_status, head, normalize_text, parse_iso, parse_rfc2822, py_strip, sender_domain,
 )
+from triage.functions.subject import choose, with_candidates
 from triage.schema import BRONZE_SCHEMA, SILVER_COLUMNS, check_columns
 
 
@@ -29,8 +29,9 @@ def to_silver(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     flag starts false.
     """
     check_columns(bronze, BRONZE_SCHEMA.fieldNames(), "silver")
-    position, company = position_and_company(_s("subject"), _s("sender"))
-    return bronze.where(key_present()).select(
+    staged = with_candidates(bronze.where(key_present()))
+    position, company = choose(_s("subject"), _s("sender"))
+    return staged.select(
         py_strip(F.col("message_id")).alias("message_id"),
         _s("email_id").alias("email_uid"),
         _s("sender").alias("sender"),

@@ -58,3 +58,13 @@ def target_gold(spark, sf_dir, end: int = TARGET_END) -> DataFrame:
 
 def batch_rows(spark, sf_dir, start: int = BATCH_START) -> DataFrame:
     return silver_rows(spark, sf_dir).where(in_batch(spark, sf_dir, start))
+
+
+def tagged_rows(spark, sf_dir, end: int = TARGET_END, start: int = BATCH_START) -> DataFrame:
+    """Silver rows computed once, tagged ``_side`` 0 (target) and/or 1 (batch);
+    a row in the overlap appears once per side."""
+    s = silver_rows(spark, sf_dir)
+    sides = F.array(F.when(in_target(spark, sf_dir, end), F.lit(0)),
+                    F.when(in_batch(spark, sf_dir, start), F.lit(1)))
+    return (s.select(*SILVER_COLUMNS, F.explode(sides).alias("_side"))
+            .where(F.col("_side").isNotNull()))

@@ -138,11 +138,11 @@ def existing_keys(spark, d):
 
 
 def upsert_counts(spark, d):
-    return mg.upsert_counts(fx.batch_rows(spark, d), fx.target_gold(spark, d))
+    return mg.counts_tagged(fx.tagged_rows(spark, d))
 
 
 def merged_gold(spark, d) -> DataFrame:
-    return mg.merge(fx.target_gold(spark, d), fx.batch_rows(spark, d).select(*SILVER_COLUMNS))
+    return mg.merge_tagged(fx.tagged_rows(spark, d))
 
 
 def upsert_merge(spark, d):
