@@ -1,0 +1,65 @@
+"""Silver transform (X20, F5, F10) on the reference's sample records."""
+
+from __future__ import annotations
+
+import pytest
+
+from triage.operators.silver import quarantine_missing_id, to_silver
+from triage.schema import SILVER_COLUMNS, ContractError
+
+
+def test_columns_and_order(spark, make_bronze, sample_records):
+    df = to_silver(make_bronze(sample_records))
+    assert df.columns == SILVER_COLUMNS
+
+
+def test_three_records(spark, make_bronze, sample_records):
+    rows = {r["email_uid"]: r for r in to_silver(make_bronze(sample_records)).collect()}
+    assert len(rows) == 3
+    assert rows["101"]["status"] == "rejected"
+    assert rows["102"]["status"] == "advanced"
+    assert rows["103"]["status"] == "unknown"
+    assert (rows["101"]["position"], rows["101"]["company_name"]) == ("Software Engineer Intern", "Grab")
+    assert (rows["102"]["position"], rows["102"]["company_name"]) == ("Next steps: Backend Engineer Intern", "Stripe")
+    assert (rows["103"]["position"], rows["103"]["company_name"]) == ("Hello there", "Unknown")
+    assert rows["101"]["subject"] == "Application for Software Engineer Intern - Grab"
+    assert {r["sender_domain"] for r in rows.values()} == {"grab.com", "stripe.com", "unknown.io"}
+    assert not any(r["alerta_enviado"] for r in rows.values())
+    assert rows["101"]["date_received"].isoformat() == "2026-07-14T09:42:11"
+    assert rows["101"]["scraped_at"].isoformat() == "2026-07-14T09:42:30"
+    assert rows["101"]["body_clean"] == "unfortunately, we will not be moving forward with your application."
+
+
+def test_drops_missing_message_id(spark, make_bronze):
+    recs = [
+        {"email_id": "1", "message_id": "", "sender": "x@y.com", "subject": "Hi", "date": "",
+         "body": "Body", "scraped_at": "2026-01-01T00:00:00+00:00"},
+        {"email_id": "2", "message_id": "<valid@x.com>", "sender": "x@y.com", "subject": "Hi",
+         "date": "", "body": "Body", "scraped_at": "2026-01-01T00:00:00+00:00"},
+        {"email_id": "3", "message_id": "   ", "sender": "x@y.com", "subject": "S" * 80,
+         "date": "", "body": "Body", "scraped_at": ""},
+        {"email_id": "4", "message_id": None, "sender": None, "subject": None, "date": None,
+         "body": None, "scraped_at": None},
+    ]
+    bronze = make_bronze(recs)
+    rows = to_silver(bronze).collect()
+    assert [r["message_id"] for r in rows] == ["<valid@x.com>"]
+    assert rows[0]["date_received"] is None
+    q = {r["email_id"]: r["subject_head"] for r in quarantine_missing_id(bronze).collect()}
+    assert set(q) == {"1", "3", "4"} and q["3"] == "S" * 60 and q["4"] == ""
+
+
+def test_empty_input_keeps_schema(spark, make_bronze):
+    df = to_silver(make_bronze([]))
+    assert df.columns == SILVER_COLUMNS and df.isEmpty()
+
+
+def test_contract_violation(spark):
+    with pytest.raises(ContractError):
+        to_silver(spark.createDataFrame([("<a@b.com>",)], "message_id string"))
+
+
+def test_no_python_in_silver_plan(spark, make_bronze, sample_records):
+    plan = to_silver(make_bronze(sample_records))._jdf.queryExecution().executedPlan().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "Exchange"):
+        assert node not in plan
