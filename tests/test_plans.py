@@ -1,0 +1,31 @@
+"""Plan shape: pushdown, pruning, no Python on the hot path, no join in the merge."""
+
+from __future__ import annotations
+
+from triage.plans import queries as Q
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_silver_has_no_python(spark):
+    p = plan(Q.silver_messages(spark, SF))
+    assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+
+
+def test_scan_prunes_columns(spark):
+    p = Q.html_to_text_q(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "url" not in p.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_merge_is_one_aggregation_without_join(spark):
+    p = plan(Q.upsert_merge(spark, SF))
+    assert "Join" not in p.replace("BroadcastHashJoin", "") or "SortMergeJoin" not in p
+    assert "Aggregate" in p
+
+
+def test_pending_is_top_k(spark):
+    assert "TakeOrderedAndProject" in plan(Q.pending_alerts(spark, SF))
