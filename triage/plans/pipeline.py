@@ -13,6 +13,8 @@ from triage.operators import notify as nt
 from triage.operators import search as sr
 from triage.operators.silver import key_present, to_silver
 from triage.schema import SILVER_COLUMNS
+from triage.session import scratch_path
+from triage.sources.handoff import write_handoff
 
 COUNTERS = ["bronze", "silver", "inserted", "updated", "notified", "failed", "fallback"]
 
@@ -31,17 +33,28 @@ def _kv(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit: int = 50,
-               transport=None) -> DataFrame:
-    """One row of run counters. The 1-row partial results are stacked into
-    ``(k, v)`` rows and pivoted by one aggregation (no cross join)."""
+               transport=None, handoff_root: str | None = None) -> DataFrame:
+    """One row of run counters for one batch run.
+
+    The selected messages go through silver once and are written, together
+    with the current gold rows, as this run's hand-off (tagged by side); every
+    counter and the merge then read the written files, so nothing upstream
+    is computed twice and the lineage is cut. The 1-row partial results are
+    stacked into ``(k, v)`` rows and pivoted by one aggregation (no cross join).
+    """
+    spark = mailbox.sparkSession
     fetched = select_new(mailbox, ingested)
-    silver = to_silver(fetched)
-    counts = mg.upsert_counts(silver, gold)
-    merged = mg.merge(gold, silver.select(*SILVER_COLUMNS))
+    tagged = mg.tag(gold, to_silver(fetched).select(*SILVER_COLUMNS))
+    root = handoff_root or scratch_path(spark, "run")
+    path = write_handoff(tagged, root, 0)
+    run = spark.read.parquet(path)
+
+    batch_n = run.where(F.col("_side") == mg.BATCH).agg(F.count(F.lit(1)).alias("silver"))
+    counts = mg.counts_tagged(run)
+    merged = mg.merge_tagged(run)
     outcomes = dlv.deliver(nt.pending_alerts(merged, limit), transport=transport)
     parts = [
-        _kv(fetched.agg(F.count(F.lit(1)).alias("bronze")), ["bronze"]),
-        _kv(silver.agg(F.count(F.lit(1)).alias("silver")), ["silver"]),
+        _kv(batch_n.withColumn("bronze", F.col("silver")), ["bronze", "silver"]),
         _kv(counts, ["inserted", "updated"]),
         _kv(nt.notify_counts(outcomes), ["notified", "failed", "fallback"]),
     ]
