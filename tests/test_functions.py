@@ -144,6 +144,8 @@ class TestHtml:
         ("<template><p>no</p></template><p>yes</p>", "yes"),
         ("<html><head><title>T</title></head><body>B</body></html>", "T B"),
         ("a&nbsp;&nbsp;b", "a b"),
+        ("x<!-- <script> -->y<script>z</script>w", "x y w"),
+        ("<STYLE>p{}</STYLE>up<p>per", "up per"),
     ])
     def test_html(self, spark, value, expected):
         assert col1(spark, X.html_to_text, value) == expected

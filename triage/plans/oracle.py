@@ -141,11 +141,9 @@ def alert_subject(company_c: str, status_c: str) -> str:
 def html_text(x: str) -> tuple[str, str]:
     """``(stripped, text)``: the markup-free expression over ``x`` and the final
     expression over the column ``s3`` that holds it."""
-    s = x
-    for el in ("script", "style", "template"):
-        s = f"regexp_replace({s}, '(?is)<{el}\\b.*?(?:</{el}\\s*>|\\z)', ' ', 'g')"
-    s = f"regexp_replace({s}, '(?s)<!--.*?(?:-->|\\z)', ' ', 'g')"
-    s = f"regexp_replace({s}, '<[/!?a-zA-Z][^>]*>', ' ', 'g')"
+    markup = ("(?is)" + "|".join(rf"<{el}\b.*?(?:</{el}\s*>|\z)" for el in ("script", "style", "template"))
+              + r"|<!--.*?(?:-->|\z)|<[/!?a-zA-Z][^>]*>")
+    s = f"regexp_replace({x}, {q(markup)}, ' ', 'g')"
     token = r"(&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[A-Za-z][A-Za-z0-9]{0,31};|[^&]+|&)"
     named = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in ENTITY_VALUES.items())
 
