@@ -72,14 +72,14 @@ def spread(df, *keys, min_partitions: int | None = None):
     """Spread a scan that yields fewer partitions than the cluster can run.
 
     A table stored as one large file is read by one task; every narrow step
-    after it (regexes, the MIME job) would run on one core. When the scan has
-    fewer partitions than ``spark.default.parallelism``, hash-partition it by
-    ``keys`` (round-robin without keys), so a following join on the same keys
-    reuses the partitioning. A scan of many files is returned as is: no extra
-    shuffle at scale.
+    after it (regexes, the MIME job) would run on one core. When the scan
+    could use at most a quarter of ``spark.default.parallelism``, hash-partition
+    it by ``keys`` (round-robin without keys) into that many partitions, so a
+    following join on the same keys reuses the partitioning. A scan of many
+    files is returned as is: no extra shuffle at scale.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if df.rdd.getNumPartitions() * 4 > want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
