@@ -61,3 +61,27 @@ def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit:
     kv = reduce(DataFrame.unionByName, parts)
     return kv.agg(*[F.coalesce(F.max(F.when(F.col("k") == n, F.col("v"))), F.lit(0))
                     .cast("bigint").alias(n) for n in COUNTERS])
+
+
+def run_batch(messages: DataFrame, store, transport=None, limit: int = 50,
+              fallback_log: str | None = None, sender: str | None = None,
+              recipient: str | None = None, run_id: str | None = None) -> dict:
+    """One whole run over parsed messages (``mailbox, uid`` + bronze columns):
+    select above each mailbox's mark, silver, upsert, advance the marks,
+    notify. Returns ``{bronze, gold: {inserted, updated}, notify: {...}}``."""
+    import time as _time
+
+    run_id = run_id or str(_time.time_ns())
+    fetched = sr.above_watermark(
+        sr.search(messages).where(sr.numeric_uid(F.col("email_id")).isNotNull()),
+        store.marks()).where(key_present())
+    root = scratch_path(messages.sparkSession, "batch")
+    path = write_handoff(fetched, root, 0)          # cut lineage: fetched once
+    fetched = messages.sparkSession.read.parquet(path)
+    bronze_n = fetched.count()
+    gold = store.upsert(to_silver(fetched), stream="batch") if bronze_n else {"inserted": 0, "updated": 0}
+    if bronze_n:
+        store.advance_marks(fetched, run_id)
+    notify = store.notify(transport=transport, limit=limit, fallback_log=fallback_log,
+                          sender=sender, recipient=recipient, run_id=run_id)
+    return {"bronze": bronze_n, "gold": gold, "notify": notify}
