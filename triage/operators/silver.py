@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from triage.functions import (
     classify_status, head, normalize_text, parse_iso, parse_rfc2822, py_strip, sender_domain,
 )
-from triage.functions.subject import choose, with_candidates
+from triage.functions.subject import choose
 from triage.schema import BRONZE_SCHEMA, SILVER_COLUMNS, check_columns
 
 
@@ -21,6 +21,37 @@ def key_present():
     return F.coalesce(py_strip(F.col("message_id")) != "", F.lit(False))
 
 
+_EXPRS: dict = {}
+
+
+def _silver_exprs():
+    """The silver expressions, built once per JVM: they are unresolved
+    expression trees over column names, and building them costs hundreds of
+    driver-to-JVM calls."""
+    from pyspark import SparkContext
+
+    key = id(SparkContext._gateway)
+    if key not in _EXPRS:
+        from triage.functions.subject import candidate_columns
+
+        position, company = choose(_s("subject"), _s("sender"))
+        _EXPRS[key] = (key_present(), candidate_columns(F.col("subject")), [
+            py_strip(F.col("message_id")).alias("message_id"),
+            _s("email_id").alias("email_uid"),
+            _s("sender").alias("sender"),
+            sender_domain(_s("sender")).alias("sender_domain"),
+            company.alias("company_name"),
+            position.alias("position"),
+            _s("subject").alias("subject"),
+            parse_rfc2822(F.col("date")).alias("date_received"),
+            normalize_text(F.col("body")).alias("body_clean"),
+            classify_status(F.col("subject"), F.col("body")).alias("status"),
+            F.lit(False).alias("alerta_enviado"),
+            parse_iso(F.col("scraped_at")).alias("scraped_at"),
+        ])
+    return _EXPRS[key]
+
+
 def to_silver(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Silver columns in their fixed order, plus the ``keep`` columns.
 
@@ -29,23 +60,9 @@ def to_silver(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     flag starts false.
     """
     check_columns(bronze, BRONZE_SCHEMA.fieldNames(), "silver")
-    staged = with_candidates(bronze.where(key_present()))
-    position, company = choose(_s("subject"), _s("sender"))
-    return staged.select(
-        py_strip(F.col("message_id")).alias("message_id"),
-        _s("email_id").alias("email_uid"),
-        _s("sender").alias("sender"),
-        sender_domain(_s("sender")).alias("sender_domain"),
-        company.alias("company_name"),
-        position.alias("position"),
-        _s("subject").alias("subject"),
-        parse_rfc2822(F.col("date")).alias("date_received"),
-        normalize_text(F.col("body")).alias("body_clean"),
-        classify_status(F.col("subject"), F.col("body")).alias("status"),
-        F.lit(False).alias("alerta_enviado"),
-        parse_iso(F.col("scraped_at")).alias("scraped_at"),
-        *keep,
-    )
+    present, candidates, exprs = _silver_exprs()
+    staged = bronze.where(present).withColumns(candidates)
+    return staged.select(*exprs, *keep)
 
 
 def quarantine_missing_id(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -329,6 +329,10 @@ def build() -> dict[str, str]:
             "FROM (SELECT message_id, unnest(range(1, attempts)) AS a FROM outc WHERE attempts > 1)"),
         "run_summary": _with(MAILBOX, SILVER, RUN) + RUN_SELECT,
         "handoff_roundtrip": w_sv + f"SELECT {_cols} FROM sv",
+        "store_upsert": w_state + f"SELECT {_cols} FROM merged",
+        "stream_gold": w_sv + (
+            f"SELECT {_cols} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn "
+            f"FROM sv WHERE ({_kw_any_sql}) AND TRY_CAST(trim(email_uid) AS BIGINT) IS NOT NULL) WHERE _rn = 1"),
         "parse_mime": w_mb + (f"SELECT uid, message_id, sender, subject, date, {collapse('body')} AS body "
                               f"FROM mb WHERE trim(message_id) <> ''"),
     }

@@ -231,6 +231,35 @@ def run_summary(spark, d):
     return run_counts(mb, fx.target_rows(spark, d), fx.target_gold(spark, d), limit=ALERT_LIMIT)
 
 
+def store_upsert(spark, d):
+    """The keyed store after two upserts (target rows, then batch rows)."""
+    from triage.session import scratch_path
+    from triage.sources.store import KeyedStore
+
+    store = KeyedStore(spark, scratch_path(spark, "store"))
+    store.upsert(fx.target_rows(spark, d).select(*SILVER_COLUMNS), stream="q", batch_id=0)
+    store.upsert(fx.batch_rows(spark, d).select(*SILVER_COLUMNS), stream="q", batch_id=1)
+    return store.gold()
+
+
+def stream_gold(spark, d):
+    """The keyed store after streaming the mailbox (two files, one per
+    micro-batch) through search, silver and upsert."""
+    from triage.session import scratch_path
+    from triage.sources.mailbox import bronze
+    from triage.sources.store import KeyedStore
+    from triage.streaming.ingest import run_stream
+
+    root = scratch_path(spark, "inbox")
+    mb = mailbox_view(spark, d)
+    lo_half = fx.in_target(spark, d, end=500)
+    bronze(mb.where(lo_half)).write.parquet(f"{root}/part=0")
+    bronze(mb.where(~lo_half)).write.parquet(f"{root}/part=1")
+    store = KeyedStore(spark, scratch_path(spark, "stream-store"))
+    run_stream(spark, f"{root}/*", store, checkpoint=f"{root}-ckpt", max_files_per_trigger=None)
+    return store.gold()
+
+
 def handoff_roundtrip(spark, d):
     return handoff.roundtrip(spark, to_silver(mailbox_view(spark, d)))
 
@@ -275,6 +304,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backoff_schedule": backoff_schedule,
     "run_summary": run_summary,
     "handoff_roundtrip": handoff_roundtrip,
+    "store_upsert": store_upsert,
+    "stream_gold": stream_gold,
     "parse_mime": parse_mime,
 }
 

@@ -69,7 +69,10 @@ def local_fs_path(path: str) -> str:
 
 
 def spread(df, *keys, min_partitions: int | None = None):
-    """Spread a scan that yields fewer partitions than the cluster can run.
+    """Spread a file scan that yields fewer partitions than the cluster can run.
+
+    Call it on a plain scan: counting its partitions only lists files, while
+    on a plan with subqueries or exchanges adaptive execution would run them.
 
     A table stored as one large file is read by one task; every narrow step
     after it (regexes, the MIME job) would run on one core. When the scan

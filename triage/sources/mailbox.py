@@ -75,12 +75,12 @@ def mailbox_view(spark: SparkSession, sf_dir: str) -> DataFrame:
       by ``event_type``; ``date`` is RFC 2822 text of ``ts``; ``scraped_at`` ISO.
     """
     prepare(spark)
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    ev = spread(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
         "event_id", "ts", "user_id", "event_type")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    ev = spread(ev.withColumn("doc_key", F.try_mod(F.col("event_id"), n_docs)), "doc_key")
-    j = ev.join(spread(docs, "doc_id"), ev["doc_key"] == docs["doc_id"], "inner")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
+    n_docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.count(F.lit(1))).scalar()
+    ev = ev.withColumn("doc_key", F.try_mod(F.col("event_id"), n_docs))
+    j = ev.join(docs, ev["doc_key"] == docs["doc_id"], "inner")
 
     e = F.col("event_id")
     uid = e + 1
