@@ -29,3 +29,10 @@ def test_merge_is_one_aggregation_without_join(spark):
 
 def test_pending_is_top_k(spark):
     assert "TakeOrderedAndProject" in plan(Q.pending_alerts(spark, SF))
+
+
+def test_single_file_inputs_are_spread_by_join_key(spark):
+    from triage.sources.mailbox import mailbox_view
+
+    p = plan(mailbox_view(spark, SF))
+    assert "hashpartitioning(doc_id" in p and "hashpartitioning(doc_key" in p

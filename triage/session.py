@@ -68,21 +68,21 @@ def local_fs_path(path: str) -> str:
     return os.path.normpath(path)
 
 
-def spread(df, *keys, min_partitions: int | None = None):
-    """Spread a file scan that yields fewer partitions than the cluster can run.
-
-    Call it on a plain scan: counting its partitions only lists files, while
-    on a plan with subqueries or exchanges adaptive execution would run them.
-
-    A table stored as one large file is read by one task; every narrow step
-    after it (regexes, the MIME job) would run on one core. When the scan
-    could use at most a quarter of ``spark.default.parallelism``, hash-partition
-    it by ``keys`` (round-robin without keys) into that many partitions, so a
-    following join on the same keys reuses the partitioning. A scan of many
-    files is returned as is: no extra shuffle at scale.
+def spread(df, *keys, source=None, min_partitions: int | None = None):
+    """Spread rows read from few files over the cluster.
+
+    A table stored as one large file (one row group) is read by one task,
+    whatever its byte-range split count says, and every narrow step after it
+    (regexes, the MIME job) would run on one core. When the input has so few
+    files that it could use at most a quarter of ``spark.default.parallelism``,
+    hash-partition ``df`` by ``keys`` (round-robin without keys) into that many
+    partitions, so a following join on the same keys reuses the partitioning.
+    The decision reads only the file listing of ``source`` (default ``df``);
+    a table of many files is returned as is: no extra shuffle at scale.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 > want:
+    files = len((source if source is not None else df).inputFiles())
+    if files * 4 > want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -75,11 +75,13 @@ def mailbox_view(spark: SparkSession, sf_dir: str) -> DataFrame:
       by ``event_type``; ``date`` is RFC 2822 text of ``ts``; ``scraped_at`` ISO.
     """
     prepare(spark)
-    ev = spread(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
-        "event_id", "ts", "user_id", "event_type")
-    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
-    n_docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.count(F.lit(1))).scalar()
-    ev = ev.withColumn("doc_key", F.try_mod(F.col("event_id"), n_docs))
+    ev_scan = spark.read.parquet(f"{sf_dir}/events.parquet")
+    doc_scan = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    n_docs = doc_scan.select(F.count(F.lit(1))).scalar()
+    ev = ev_scan.select("event_id", "ts", "user_id", "event_type").withColumn(
+        "doc_key", F.try_mod(F.col("event_id"), n_docs))
+    ev = spread(ev, "doc_key", source=ev_scan)
+    docs = spread(doc_scan.select("doc_id", "text"), "doc_id", source=doc_scan)
     j = ev.join(docs, ev["doc_key"] == docs["doc_id"], "inner")
 
     e = F.col("event_id")
