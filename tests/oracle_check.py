@@ -23,7 +23,7 @@ def duck(sf_dir: str):
     import duckdb
 
     con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
+    con.execute(f"SET TimeZone='{os.environ.get('ORACLE_TZ', 'UTC')}'")
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
