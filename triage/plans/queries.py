@@ -133,7 +133,8 @@ def valid_email(spark, d):
 # -- keyed state ---------------------------------------------------------------
 
 def existing_keys(spark, d):
-    flagged = mg.existing_keys(fx.batch_rows(spark, d), fx.target_gold(spark, d))
+    # only the target's keys matter: a key-only distinct, no row selection
+    flagged = mg.existing_keys(fx.batch_rows(spark, d), fx.target_rows(spark, d))
     return flagged.select("uid", "message_id", "existed")
 
 

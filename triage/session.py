@@ -86,3 +86,22 @@ def spread(df, *keys, source=None, min_partitions: int | None = None):
     if files * 4 > want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast ``df`` only after checking its size, else leave the join to a
+    shuffle (and AQE's skew split).
+
+    The frame is checkpointed (written once below ``spark.checkpoint.dir``,
+    lineage cut) and counted from the written copy; it is broadcast only
+    when it has at most ``max_rows`` rows. Meant for small derived tables
+    whose size has no static bound, such as one row per mailbox.
+    """
+    shared_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else df
