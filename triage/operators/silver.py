@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triage.functions import (
-    classify_status, head, normalize_text, parse_iso, parse_rfc2822, py_strip, sender_domain,
+    classify_text, collapse_ws, head, parse_iso, parse_rfc2822, py_strip, sender_domain,
 )
 from triage.functions.subject import choose
 from triage.schema import BRONZE_SCHEMA, SILVER_COLUMNS, check_columns
@@ -35,7 +35,13 @@ def _silver_exprs():
         from triage.functions.subject import candidate_columns
 
         position, company = choose(_s("subject"), _s("sender"))
-        _EXPRS[key] = (key_present(), candidate_columns(F.col("subject")), [
+        staged = candidate_columns(F.col("subject"))
+        # The body is lower-cased once for both the classifier and body_clean:
+        # lower() commutes with white-space collapsing and with the concat.
+        staged["_body_lc"] = F.lower(_s("body"))
+        body_lc = F.col("_body_lc")
+        status = classify_text(F.concat(F.lower(_s("subject")), F.lit(" "), body_lc))
+        _EXPRS[key] = (key_present(), staged, [
             py_strip(F.col("message_id")).alias("message_id"),
             _s("email_id").alias("email_uid"),
             _s("sender").alias("sender"),
@@ -44,8 +50,8 @@ def _silver_exprs():
             position.alias("position"),
             _s("subject").alias("subject"),
             parse_rfc2822(F.col("date")).alias("date_received"),
-            normalize_text(F.col("body")).alias("body_clean"),
-            classify_status(F.col("subject"), F.col("body")).alias("status"),
+            collapse_ws(body_lc).alias("body_clean"),
+            status.alias("status"),
             F.lit(False).alias("alerta_enviado"),
             parse_iso(F.col("scraped_at")).alias("scraped_at"),
         ])
