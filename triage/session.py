@@ -100,8 +100,12 @@ def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
     when it has at most ``max_rows`` rows. Meant for small derived tables
     whose size has no static bound, such as one row per mailbox.
     """
-    shared_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
     from pyspark.sql import functions as F
 
+    shared_dir(df.sparkSession)
+    cached = df.persist()          # computed once: checkpoint would compute twice
+    try:
+        df = cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
     return F.broadcast(df) if df.count() <= max_rows else df
