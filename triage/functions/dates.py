@@ -7,7 +7,8 @@ Accepted, as the mail-header reader of the original accepts:
 
 * an optional weekday (a first token ending in ``,`` or a 3-letter day name),
 * ``day month year`` or ``month day year``, month as 3-letter or full English name,
-  parts separated by spaces or ``-`` (``04-Jul-2026``),
+  parts separated by spaces; ``04-Jul-2026`` only as ``date time zone`` (exactly
+  three tokens after the weekday, as the original reader requires),
 * a 1- to 4-digit year; below 100, years above 68 are 19xx, else 20xx,
 * ``H:M`` or ``H:M:S`` (``.`` also separates),
 * a numeric zone ``+hhmm`` / ``-hhmm``, an RFC 822 zone name, or none,
@@ -26,9 +27,12 @@ from pyspark.sql import functions as F
 from triage.functions.text import _col
 from triage.schema import MONTHS_LONG, MONTHS_SHORT, ZONE_OFFSETS_MIN
 
+WEEKDAY = r"(?:[^\s,]*,\s*|(?:mon|tue|wed|thu|fri|sat|sun)\s+)?"
+# "[weekday] d-m-y time zone" (exactly three tokens) is read as "d m y time zone"
+DASH_FORM = r"(?i)^(\s*" + WEEKDAY + r")([^\s-]+)-([^\s-]+)-([^\s-]+)(\s+\S+\s+\S+\s*)$"
 DATE_PATTERN = (
-    r"(?i)^\s*(?:[^\s,]*,\s*|(?:mon|tue|wed|thu|fri|sat|sun)\s+)?"
-    r"(?:(\d{1,2})[\s-]+([a-z]+)|([a-z]+)[\s-]+(\d{1,2}),?)[\s-]+(\d{1,4}),?\s+"
+    r"(?i)^\s*" + WEEKDAY +
+    r"(?:(\d{1,2})\s+([a-z]+)|([a-z]+)\s+(\d{1,2}),?)\s+(\d{1,4}),?\s+"
     r"(\d{1,2})[:.](\d{1,2})(?:[:.](\d{1,2}))?"
     r"(?:\s*([+-]?\d{1,4}|[a-z]+))?\s*(?:\(.*\))?\s*$"
 )
@@ -59,7 +63,7 @@ def zone_offset_minutes(zone: Column) -> Column:
 
 def parse_rfc2822(c) -> Column:
     """RFC 2822 ``Date`` header to UTC TIMESTAMP_NTZ, NULL on failure."""
-    p = _parts(F.coalesce(_col(c), F.lit("")))
+    p = _parts(F.regexp_replace(F.coalesce(_col(c), F.lit("")), DASH_FORM, "$1$2 $3 $4$5"))
     ok = (F.size(p) == 10) & (F.try_element_at(p, F.lit(1)) == "")
 
     def g(i: int) -> Column:

@@ -22,6 +22,12 @@ from triage.schema import SUBJECT_PATTERNS
 FLAGS = "(?iUd)"
 
 
+def java_pattern(pattern: str) -> str:
+    r"""A pattern as Python reads it, for Java: Python's ``\s`` also covers
+    U+001C..U+001F, Java's ``(?U)\s`` does not."""
+    return pattern.replace(r"\s", r"[\s\x1c-\x1f]").replace(r"\S", r"[^\s\x1c-\x1f]")
+
+
 SEP = "\u0001"
 
 
@@ -33,7 +39,7 @@ def candidate_columns(subject) -> dict[str, Column]:
     subj = F.coalesce(_col(subject), F.lit(""))
     out = {}
     for i, (pattern, pos_group, comp_group) in enumerate(SUBJECT_PATTERNS, start=1):
-        wrapped = FLAGS + "^(?s:.*?)(?:" + pattern + ")(?s:.*)$"
+        wrapped = FLAGS + "^(?s:.*?)(?:" + java_pattern(pattern) + ")(?s:.*)$"
         parts = F.split(F.regexp_replace(subj, wrapped, f"{SEP}${pos_group}{SEP}${comp_group}"), SEP)
         hit = (F.size(parts) == 3) & (F.try_element_at(parts, F.lit(1)) == "")
         out[f"_p{i}"] = F.when(hit, py_strip(F.try_element_at(parts, F.lit(2)))).otherwise(F.lit(""))

@@ -70,16 +70,18 @@ def classify(subject: str, body: str) -> str:
     return f"CASE WHEN {rej} THEN 'rejected' WHEN {acc} THEN 'advanced' ELSE 'unknown' END"
 
 
+WEEKDAY_RE = r"(?:[^\s,]*,\s*|(?:mon|tue|wed|thu|fri|sat|sun)\s+)?"
+DASH_RE = r"(?i)^(\s*" + WEEKDAY_RE + r")([^\s-]+)-([^\s-]+)-([^\s-]+)(\s+\S+\s+\S+\s*)$"
 DATE_RE = (
-    r"(?i)^\s*(?:[^\s,]*,\s*|(?:mon|tue|wed|thu|fri|sat|sun)\s+)?"
-    r"(?:(\d{1,2})[\s-]+([a-z]+)|([a-z]+)[\s-]+(\d{1,2}),?)[\s-]+(\d{1,4}),?\s+"
+    r"(?i)^\s*" + WEEKDAY_RE +
+    r"(?:(\d{1,2})\s+([a-z]+)|([a-z]+)\s+(\d{1,2}),?)\s+(\d{1,4}),?\s+"
     r"(\d{1,2})[:.](\d{1,2})(?:[:.](\d{1,2}))?"
     r"(?:\s*([+-]?\d{1,4}|[a-z]+))?\s*(?:\(.*\))?\s*$"
 )
 
 
 def parse_date(x: str) -> str:
-    s = f"coalesce({x}, '')"
+    s = f"regexp_replace(coalesce({x}, ''), {q(DASH_RE)}, '\\1\\2 \\3 \\4\\5')"
 
     def g(i):
         return f"regexp_extract({s}, {q(DATE_RE)}, {i})"
