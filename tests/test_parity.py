@@ -138,3 +138,37 @@ def test_random_date_parity(spark, seed):
     for b in bad[:5]:
         print("MISMATCH", b)
     assert not bad, len(bad)
+
+
+def py_html_text(markup: str) -> str:
+    """Text nodes of an HTML document, stripped, joined by one space; script,
+    style, template and comments excluded (an HTML parser's get_text reading)."""
+    from html.parser import HTMLParser
+
+    class Text(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.parts, self.skip = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.skip += tag in ("script", "style", "template")
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style", "template") and self.skip:
+                self.skip -= 1
+
+        def handle_data(self, data):
+            if not self.skip and data.strip():
+                self.parts.append(data.strip())
+
+    p = Text()
+    p.feed(markup)
+    p.close()
+    return re.sub(r"\s+", " ", " ".join(p.parts)).strip()
+
+
+def test_pages_match_an_html_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = pages.select("html", X.html_to_text(F.col("html")).alias("t")).collect()
+    bad = [r["html"][:80] for r in rows if py_html_text(r["html"]) != r["t"]]
+    assert not bad, (len(bad), bad[:2])

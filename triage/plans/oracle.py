@@ -384,12 +384,12 @@ pend AS (
 )"""
 
 RUN_SELECT = """
-SELECT (SELECT count(*) FROM fetched) AS bronze,
-       (SELECT count(*) FROM bs) AS silver,
-       (SELECT count_if(t.message_id IS NULL) FROM bs b LEFT JOIN tg t ON b.message_id = t.message_id) AS inserted,
-       (SELECT count_if(t.message_id IS NOT NULL) FROM bs b LEFT JOIN tg t ON b.message_id = t.message_id) AS updated,
+SELECT CAST((SELECT count(*) FROM fetched) AS BIGINT) AS bronze,
+       CAST((SELECT count(*) FROM bs) AS BIGINT) AS silver,
+       CAST((SELECT count_if(t.message_id IS NULL) FROM bs b LEFT JOIN tg t ON b.message_id = t.message_id) AS BIGINT) AS inserted,
+       CAST((SELECT count_if(t.message_id IS NOT NULL) FROM bs b LEFT JOIN tg t ON b.message_id = t.message_id) AS BIGINT) AS updated,
        CAST(0 AS BIGINT) AS notified, CAST(0 AS BIGINT) AS failed,
-       (SELECT count(*) FROM pend) AS fallback
+       CAST((SELECT count(*) FROM pend) AS BIGINT) AS fallback
 """
 
 ORACLE_SQL = build()
