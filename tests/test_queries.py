@@ -26,3 +26,23 @@ def test_entry(spark):
 
     rows = {r["status"]: r["n"] for r in entry(spark).collect()}
     assert set(rows) <= {"rejected", "advanced", "unknown"} and sum(rows.values()) > 0
+
+
+SPARK_TO_DUCK = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
+                 "BooleanType()": "BOOLEAN", "DoubleType()": "DOUBLE",
+                 "TimestampNTZType()": "TIMESTAMP"}
+
+
+def test_column_types_match_oracle(spark):
+    from __spark_entry__ import oracle_sql, queries
+    from tests.oracle_check import duck
+
+    con = duck(SF)
+    bad = {}
+    for name, fn in queries().items():
+        rel = con.sql(oracle_sql()[name])
+        want = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        got = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in fn(spark, SF).schema}
+        if got != want:
+            bad[name] = (got, want)
+    assert not bad, bad
