@@ -1,0 +1,36 @@
+"""A key holding a third of all rows: merged correctly, combined map-side."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from triage.operators import merge as mg
+from triage.schema import SILVER_COLUMNS
+
+
+def rows(spark, n, hot_share=3):
+    base = spark.range(n).select(
+        F.when(F.col("id") % hot_share == 0, F.lit("<hot>"))
+         .otherwise(F.concat(F.lit("<k"), F.col("id").cast("string"), F.lit(">"))).alias("message_id"),
+        F.col("id").cast("string").alias("email_uid"),
+        F.lit("s").alias("sender"), F.lit("d").alias("sender_domain"), F.lit("c").alias("company_name"),
+        F.lit("p").alias("position"), F.lit("subj").alias("subject"),
+        F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz").alias("date_received"),
+        F.col("id").cast("string").alias("body_clean"), F.lit("unknown").alias("status"),
+        F.lit(False).alias("alerta_enviado"),
+        F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz").alias("scraped_at"))
+    return base.select(*SILVER_COLUMNS)
+
+
+def test_hot_key_merge(spark):
+    n = 30_000
+    target = mg.latest_per_key(rows(spark, n // 2))
+    batch = rows(spark, n).repartition(8)
+    merged = mg.merge(target, batch)
+    hot = merged.where(F.col("message_id") == "<hot>").collect()
+    assert len(hot) == 1 and hot[0]["email_uid"] == str(((n - 1) // 3) * 3)
+    assert merged.count() == 1 + (n - (n + 2) // 3)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan and "Join" not in plan
