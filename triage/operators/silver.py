@@ -9,7 +9,7 @@ from triage.functions import (
     classify_text, collapse_ws, head, parse_iso, parse_rfc2822, py_strip, sender_domain,
 )
 from triage.functions.subject import choose
-from triage.schema import BRONZE_SCHEMA, SILVER_COLUMNS, check_columns
+from triage.schema import BRONZE_SCHEMA, check_columns
 
 
 def _s(name: str):
@@ -76,12 +76,3 @@ def quarantine_missing_id(bronze: DataFrame, keep: tuple[str, ...] = ()) -> Data
     the subject for the operator (F5, T3)."""
     return bronze.where(~key_present()).select(
         *keep, F.col("email_id"), head(F.col("subject"), 60).alias("subject_head"))
-
-
-def gold_columns(df: DataFrame) -> DataFrame:
-    return df.select(*SILVER_COLUMNS)
-
-
-def with_ingest_time(bronze: DataFrame, when_iso: str) -> DataFrame:
-    """One ingest time per batch (X17): a literal, not a per-row ``now()``."""
-    return bronze.withColumn("scraped_at", F.lit(when_iso))

@@ -8,7 +8,6 @@ cluster names in ``spark.checkpoint.dir``. Only when that setting is absent
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -59,15 +58,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme so the Python side can open local paths."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)
-
-
 def spread(df, *keys, source=None, min_partitions: int | None = None):
     """Spread rows read from few files over the cluster.
 
