@@ -1,6 +1,7 @@
 """Message dates (X6) and ISO-8601 ingest times (X7) as built-in expressions.
 
-RFC 2822 dates are read with one regex that splits the text into parts, then
+RFC 2822 dates take two regex passes (the ``d-m-y`` form is rewritten with
+spaces, then one regex splits the text into all its parts at once), then
 ``try_make_timestamp_ntz`` builds the wall-clock value and the zone offset is
 subtracted, so the result is the UTC wall-clock time as TIMESTAMP_NTZ.
 Accepted, as the mail-header reader of the original accepts:
