@@ -34,7 +34,8 @@ def _kv(df: DataFrame, names: list[str]) -> DataFrame:
 
 def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit: int = 50,
                transport=None, handoff_root: str | None = None) -> DataFrame:
-    """One row of run counters for one batch run.
+    """One row of run counters for one batch run. ``gold`` holds the existing
+    rows (several rows of a key resolve to the last one, as in the merge).
 
     The selected messages go through silver once and are written, together
     with the current gold rows, as this run's hand-off (tagged by side); every
