@@ -81,10 +81,10 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "throughput": {k: v for k, v in {
-            "silver_messages_rows_per_s": ev / times["silver_messages"] if "silver_messages" in times else None,
-            "parse_mime_msgs_per_s": ev / times["parse_mime"] if "parse_mime" in times else None,
-            "html_to_text_MB_per_s": html_bytes / 1e6 / times["html_to_text"] if "html_to_text" in times else None,
-        }.items() if v is not None},
+            "silver_messages_rows_per_s": round(ev / times["silver_messages"], 1) if "silver_messages" in times else None,
+            "parse_mime_msgs_per_s": round(ev / times["parse_mime"], 1) if "parse_mime" in times else None,
+            "html_to_text_MB_per_s": round(html_bytes / 1e6 / times["html_to_text"], 2) if "html_to_text" in times else None,
+        }.items() if v is not None and not __import__("math").isnan(v)},
         "config": {"master": f"local[{cpus}]", "runs": runs, "spark": spark.version,
                    "shuffle_partitions": 2 * cpus},
     }
