@@ -155,7 +155,11 @@ def pending_alerts(spark, d):
 
 
 def mark_alerted(spark, d):
-    gold = merged_gold(spark, d)
+    # Read twice (pending rows, then the flag join): written once under the
+    # shared checkpoint folder instead of merged twice.
+    from triage.session import materialize
+
+    gold = materialize(merged_gold(spark, d))
     ledger = dlv.deliver(nt.pending_alerts(gold, ALERT_LIMIT), transport=None)
     return nt.apply_alert_flag(gold, ledger).select("message_id", "status", "alerta_enviado")
 

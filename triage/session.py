@@ -81,6 +81,18 @@ def spread(df, *keys, source=None, min_partitions: int | None = None):
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def materialize(df):
+    """Write ``df`` once below ``spark.checkpoint.dir`` and return the written
+    copy (lineage cut). It is cached while being written, because a plain
+    checkpoint would compute it twice."""
+    shared_dir(df.sparkSession)
+    cached = df.persist()
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+
+
 def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
     """Broadcast ``df`` only after checking its size, else leave the join to a
     shuffle (and AQE's skew split).
@@ -92,10 +104,5 @@ def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
     """
     from pyspark.sql import functions as F
 
-    shared_dir(df.sparkSession)
-    cached = df.persist()          # computed once: checkpoint would compute twice
-    try:
-        df = cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    df = materialize(df)
     return F.broadcast(df) if df.count() <= max_rows else df
