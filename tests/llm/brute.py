@@ -1,0 +1,115 @@
+"""Plain Python versions of the contracts, for small tables."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def rules(text):
+    t = text or ""
+    ws = WORD.findall(t)
+    lines, seen, dup = t.split("\n"), set(), 0
+    for x in lines:
+        if WORD.search(x):
+            dup += x in seen
+            seen.add(x)
+    n = Counter(tuple(ws[i:i + 5]) for i in range(len(ws) - 4))
+    hit = set()
+    for i in range(len(ws) - 4):
+        if n[tuple(ws[i:i + 5])] > 1:
+            hit.update(range(i, i + 5))
+    failed = len(ws) < 10 or 100 * len(hit) > 20 * len(ws)
+    return len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(hit), failed
+
+
+def contamination(docs, items):
+    split = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    index = defaultdict(set)
+    for i, t in items:
+        ws = split.findall((t or "").translate(UPPER))
+        for k in range(max(1, len(ws) - 12) if ws else 0):
+            index[tuple(ws[k:k + 13])].add("" if i is None else str(i))
+    sizes = {len(p) for p in index}
+    out = {}
+    for d, t in docs:
+        ws, hit, found = split.findall((t or "").translate(UPPER)), set(), set()
+        for m in sizes:
+            for k in range(len(ws) - m + 1):
+                if (p := tuple(ws[k:k + m])) in index:
+                    hit.update(range(k, k + m))
+                    found |= index[p]
+        out[d] = (len(ws), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(),
+                  len(hit) > 0 and 20 * len(hit) >= len(ws))
+    return out
+
+
+def tokens(docs, path):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    out, start = [], 0
+    for d, text in sorted(docs, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")):
+        ids = t.encode(text or "", add_special_tokens=False).ids + [1]
+        out.append((d, start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
+        start += len(ids)
+    return out
+
+
+def pages(rows):
+    by = defaultdict(list)
+    for p, _, h in rows:
+        by[(h or "").encode()].append(p)
+    out = []
+    for p, _, h in rows:
+        b = (h or "").encode()
+        first = min(by[b])
+        rev = len(b) >= 100 and p != first
+        out.append((p, len(b), hashlib.sha256(b).hexdigest(), "revisit" if rev else "response", first if rev else None))
+    return sorted(out)
+
+
+def targets(sizes, weights=(3, 1, 2), share=1.5):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[i % 3] for i, s in enumerate(names)}
+    left, open_, out = share * sum(sizes.values()), set(names), {}
+    while True:
+        total = sum(w[s] for s in open_)
+        full = [s for s in open_ if left * w[s] / total > 2 * sizes[s]]
+        if not full:
+            return out | {s: left * w[s] / total for s in open_}
+        for s in full:
+            out[s] = 2.0 * sizes[s]
+        open_ -= set(full)
+        left = share * sum(sizes.values()) - sum(out.values())
+
+
+def jaccard_components(docs):
+    sets = {}
+    for d, t in docs:
+        ws = WORD.findall((t or "").translate(UPPER))
+        sets[d] = {tuple(ws[i:i + 3]) for i in range(len(ws) - 2)} if len(ws) >= 3 else {tuple(ws)} - {()}
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    index = defaultdict(list)
+    for d, s in sets.items():
+        for g in s:
+            index[g].append(d)
+    for d, s in sets.items():
+        shared = Counter(x for g in s for x in index[g] if x > d)
+        for x, n in shared.items():
+            if 100 * n >= 90 * (len(s) + len(sets[x]) - n):
+                a, b = sorted((find(d), find(x)))
+                root[b] = a
+    return {d: (len(s), find(d)) for d, s in sets.items()}
