@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import decontaminate, mixing, rule_forest, token_orc, warc_zstd
+from triage.llm import decontaminate, jaccard_join, mixing, rule_forest, token_orc, warc_zstd
 from triage.llm.common import scratch_path
 
 
@@ -26,6 +26,10 @@ def op4_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.with_crc32(token_orc.read_tokens(spark, path))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"))
+
+
 def op7_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rule_forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rule_forest.COUNTS, "base_failed", "kept", F.col("anomaly"))
@@ -55,6 +59,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op4_token_orc, op7_rule_forest, op8_decontaminate, op9_warc_zstd, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op4_token_orc, op5_jaccard_join, op7_rule_forest, op8_decontaminate, op9_warc_zstd, op10_mixing)}
 
 ORACLE_SQL: dict[str, str] = {}
