@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import decontaminate, jaccard_join, mixing, rule_forest, token_orc, warc_zstd
-from triage.llm.common import scratch_path
+from triage.llm import decontaminate, jaccard_join, langid, mixing, quality_fm, rule_forest, token_orc, toxicity, warc_zstd
+from triage.llm.common import fold, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,20 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality_fm.fit(docs, table(spark, sf_dir, "labels"))
+    s = F.col("fm_score")
+    return quality_fm.score(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), s.alias("score"),
+                                                F.when(s >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.learn(docs))
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_orc.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -30,6 +44,14 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_components(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    s = F.col("toxic_score")
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), s.alias("score"),
+                         F.when(s >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op7_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rule_forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rule_forest.COUNTS, "base_failed", "kept", F.col("anomaly"))
@@ -59,6 +81,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op4_token_orc, op5_jaccard_join, op7_rule_forest, op8_decontaminate, op9_warc_zstd, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_langid, op4_token_orc, op5_jaccard_join, op6_toxicity, op7_rule_forest, op8_decontaminate, op9_warc_zstd, op10_mixing)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -6,6 +6,7 @@ are stated by ASCII characters hold bytewise.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -94,9 +95,10 @@ def runs(inside: np.ndarray, off: np.ndarray) -> Words:
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans that are in ascending order and don't
     overlap, in time linear in the bytes (differences of a running
-    polynomial, brought to a common power)."""
+    polynomial, brought to a common power). ``data`` are bytes or code
+    points."""
     out = np.zeros(len(starts), np.uint64)
-    codes, i = byte_codes(), 0
+    codes, i = byte_codes() if data.dtype == np.uint8 else None, 0
     size = min(SEGMENT, len(data))
     up, down = powers(BASE, size), powers(INV_BASE, size)
     while i < len(starts):
@@ -106,7 +108,8 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         if b - a > len(up):
             up, down = powers(BASE, int(b - a)), powers(INV_BASE, int(b - a))
         sums = np.zeros(b - a + 1, np.uint64)
-        np.cumsum(codes[data[a:b]] * up[:b - a], out=sums[1:])
+        part = codes[data[a:b]] if codes is not None else mix(data[a:b].astype(np.uint64) * U64(BASE) + U64(1))
+        np.cumsum(part * up[:b - a], out=sums[1:])
         s, e = starts[i:j] - a, ends[i:j] - a
         out[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
         i = j
@@ -147,3 +150,18 @@ def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=sums[1:])
     return sums[bounds[1:]] - sums[bounds[:-1]]
+
+
+@functools.lru_cache(1)
+def letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def code_points(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The lower-cased texts of a column as code points, one 0 after each, and
+    their offsets (null: empty)."""
+    low = [(t or "").lower() for t in col.to_pylist()]
+    off = np.zeros(len(low) + 1, np.int64)
+    np.cumsum([len(t) + 1 for t in low], out=off[1:])
+    return np.frombuffer("".join(t + "\0" for t in low).encode("utf-32-le"), np.uint32), off
