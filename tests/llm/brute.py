@@ -113,3 +113,23 @@ def jaccard_components(docs):
                 a, b = sorted((find(d), find(x)))
                 root[b] = a
     return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+BASE_PATTERNS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+                 ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 * (int(c) > 4)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for k, (kind, p) in enumerate(BASE_PATTERNS):
+        for m in re.finditer(p, text or ""):
+            d = re.sub("[^0-9]", "", m.group())
+            ok = (kind == "email" or kind == "ip" and all(int(x) <= 255 for x in m.group().split("."))
+                  or kind == "card" and 12 <= len(d) <= 19 and luhn(d) or kind == "phone" and 9 <= len(d) <= 15)
+            if ok:
+                out.append((m.start(), k, m.end()))
+    return ",".join(f"{BASE_PATTERNS[k][0]}:{s}:{e}" for s, k, e in sorted(out))

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import decontaminate, jaccard_join, langid, mixing, quality_fm, rule_forest, token_orc, toxicity, warc_zstd
+import corpus_pipeline
+from triage.llm import decontaminate, jaccard_join, langid, mixing, pii, quality_fm, rule_forest, token_orc, toxicity, warc_zstd
 from triage.llm.common import fold, scratch_path
 
 
@@ -34,6 +35,12 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(pii.n_of(k).alias(f"n_{k}") for k in pii.KINDS),
+                        F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op4_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_orc.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -81,6 +88,80 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_langid, op4_token_orc, op5_jaccard_join, op6_toxicity, op7_rule_forest, op8_decontaminate, op9_warc_zstd, op10_mixing)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_fm, op2_langid, op3_pii, op4_token_orc, op5_jaccard_join, op6_toxicity, op7_rule_forest,
+    op8_decontaminate, op9_warc_zstd, op10_mixing)} | {"pipeline": corpus_pipeline.run}
+
+#: DuckDB SQL for the operators that have one; the others are tested against brute force
+ORACLE_SQL = {
+    "op8_decontaminate": r"""
+WITH i AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark WHERE text IS NOT NULL),
+p AS (
+  SELECT DISTINCT item, least(len(ws), 13) AS n, array_to_string(ws[k:k + 12], ' ') AS pattern
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS k FROM i WHERE len(ws) > 0)),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+w AS (
+  SELECT rid, n, k, array_to_string(ws[k:k + n - 1], ' ') AS pattern
+  FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS k
+        FROM d, (SELECT DISTINCT n FROM p) WHERE len(ws) >= n)),
+f AS (SELECT w.rid, w.n, w.k, p.item FROM w JOIN p ON w.n = p.n AND w.pattern = p.pattern),
+h AS (
+  SELECT rid, count(DISTINCT pos) AS n_hit
+  FROM (SELECT rid, unnest(range(k, k + n)) AS pos FROM (SELECT DISTINCT rid, k, n FROM f)) GROUP BY rid),
+x AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT rid, item FROM f) GROUP BY rid)
+SELECT d.doc_id, len(d.ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.ws) AS contaminated
+FROM d LEFT JOIN h ON d.rid = h.rid LEFT JOIN x ON d.rid = x.rid
+""",
+    "op9_warc_zstd": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+           FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+""",
+    "op10_mixing": r"""
+WITH z AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM z GROUP BY source),
+w AS (SELECT *, [3, 1, 2][rank % 3 + 1] AS weight, 2 * source_size AS cap FROM s),
+o AS (SELECT *, row_number() OVER (ORDER BY cap::DOUBLE / weight, rank) AS place FROM w),
+l AS (
+  SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE
+             - coalesce(sum(cap) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+            / (sum(weight) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+  FROM o),
+c AS (SELECT level AS final FROM l WHERE cap >= level * weight ORDER BY place LIMIT 1),
+t AS (SELECT source, source_size, rank, least(cap::DOUBLE, coalesce((SELECT final FROM c) * weight, cap::DOUBLE)) AS target FROM l),
+q AS (
+  SELECT z.*, source_size, target, rank,
+         sum(size) OVER (PARTITION BY z.source ORDER BY key, doc_id, size, rid ROWS UNBOUNDED PRECEDING) AS cum
+  FROM z JOIN t ON z.source IS NOT DISTINCT FROM t.source),
+e AS (
+  SELECT *, (cum + source_size * turn)::DOUBLE / target AS vft FROM q, (SELECT unnest([0, 1]) AS turn) WHERE target > 0),
+r AS (
+  SELECT rid, greatest(0, least(size, (SELECT floor(sum(size)::DOUBLE * 1.5::DOUBLE) FROM z)::BIGINT
+         - coalesce(sum(size) OVER (ORDER BY vft, rank, key, doc_id, rid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS got
+  FROM e),
+g AS (SELECT rid, sum(got)::BIGINT AS taken FROM r GROUP BY rid)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM q LEFT JOIN g ON q.rid = g.rid
+""",
+}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
