@@ -163,8 +163,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     plan = take(schedule(docs, **options), share, repeats)
     id_col = options.get("id_col", "doc_id")
     turns = plan.groupBy(F.col("doc_id").alias("_mid")).agg(
-        F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("_copies"), F.min(finish(0)).alias("_at"),
-        F.max(F.col("source_size") / F.col("target")).alias("_round"))
+        F.max(F.ceil(F.try_divide("taken", "size"))).cast("int").alias("_copies"), F.min(finish(0)).alias("_at"),
+        F.max(F.try_divide("source_size", "target")).alias("_round"))
     both = docs.join(turns, F.col(id_col).eqNullSafe(F.col("_mid"))).where("_copies > 0")
     copies = both.withColumn("_turn", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
     at = F.col("_at") + F.col("_turn") * F.col("_round")

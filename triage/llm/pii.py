@@ -43,6 +43,8 @@ KINDS = ("email", "ip", "card", "phone")
 BUCKETS = 512
 ACCEPT = 0.9
 ROUNDS = 40
+#: weight of EM's prior, as a share of a kind's spans
+PRIOR = 0.02
 
 # fixed values: the base patterns
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -179,8 +181,9 @@ def reliabilities(patterns: list[tuple[int, tuple[int, ...], int]]) -> dict[tupl
             chance = {}
             for j in range(len(rows[0][0])):
                 for c in (0, 1):
-                    # the prior count keeps a labeler better than chance
-                    seen = {x: 0.5 + 2.0 * (x == (1 if c else -1)) for x in (-1, 0, 1)}
+                    # prior counts (a share of the spans) keep a labeler better than chance, and the
+                    # classes from parting spans that all labelers but one agree on
+                    seen = {x: (0.5 + 2.0 * (x == (1 if c else -1))) * max(1.0, PRIOR * total) for x in (-1, 0, 1)}
                     for v, n in rows:
                         seen[v[j]] += n * (p[v] if c else 1 - p[v])
                     for x in seen:
@@ -211,7 +214,8 @@ def span_classifier(spans: DataFrame) -> tuple[list[float], list[float]]:
     for r in sums:
         if r.f < BUCKETS:
             yes, no = total[r.kind]
-            weight[r.kind * BUCKETS + r.f] = math.log((r.yes + 0.5) / (yes + 1) / ((r.no + 0.5) / (no + 1)))
+            usual = (r.yes + r.no) / (yes + no)  # unseen features of a class are as frequent as in all
+            weight[r.kind * BUCKETS + r.f] = math.log((r.yes + 2 * usual) / (yes + 2) / ((r.no + 2 * usual) / (no + 2)))
     return prior, weight
 
 
