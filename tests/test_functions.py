@@ -183,3 +183,29 @@ class TestLabels:
         rows = df.select(X.alert_subject(F.col("c"), F.col("s")).alias("x")).collect()
         assert rows[0]["x"] == "[Triage] Rejected — Grab"
         assert rows[1]["x"] == "[Triage] Update — An employer"
+
+
+def test_iso_needs_a_whole_date(spark):
+    from triage.functions.dates import parse_iso
+
+    rows = ["10:30:00", "T10:00", "2026", "2026-7-4", "20260714T094230", "2026-07-14", "2026-07-14T09:42:30Z", "2026-07-14 09:42:30+02:00", "", None]
+    got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, s string").orderBy("i").select(parse_iso(F.col("s"))).collect()]
+    assert [None if x is None else x.isoformat() for x in got] == [
+        None, None, None, None, "2026-07-14T09:42:30", "2026-07-14T00:00:00", "2026-07-14T09:42:30", "2026-07-14T07:42:30", None, None]
+
+
+def test_html_references_and_quoted_attributes(spark):
+    from triage.functions.html import html_to_text
+
+    rows = ["&frac12;&eacute;", "a&#150;b", "&#00000065;", '<a title="x>y">t</a>', "<p title=it's>u</p>", "&#x00041;&#65 z", "&nosuch; & &#; &#x110000;", "&#99999999999999999999;"]
+    want = ["½é", "a–b", "A", "t", "u", "AA z", "&nosuch; & &#; \ufffd", "\ufffd"]
+    got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, s string").orderBy("i").select(html_to_text(F.col("s"))).collect()]
+    assert got == want
+
+
+def test_subject_may_hold_the_separator(spark):
+    from triage.functions.subject import position_and_company
+
+    row = spark.createDataFrame([("Backend \u0001Intern at Grab", "x@y.com"), ("Backend Intern at Grab", "x@y.com")], "s string, f string")
+    got = row.select(*position_and_company(F.col("s"), F.col("f"))).collect()
+    assert got[0][1] == got[1][1]

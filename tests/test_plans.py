@@ -22,17 +22,27 @@ def test_scan_prunes_columns(spark):
 
 
 def test_merge_is_one_aggregation_without_join(spark):
-    p = plan(Q.upsert_merge(spark, SF))
-    assert "Join" not in p.replace("BroadcastHashJoin", "") or "SortMergeJoin" not in p
-    assert "Aggregate" in p
+    from triage.operators import merge as mg
+    from triage.plans import fixture as fx
+
+    tagged = fx.tagged_rows(spark, SF)
+    tagged = spark.createDataFrame(tagged.limit(5).collect(), tagged.schema)
+    p = plan(mg.merge_tagged(tagged))
+    assert "Join" not in p and p.count("Exchange hashpartitioning") == 1
 
 
 def test_pending_is_top_k(spark):
     assert "TakeOrderedAndProject" in plan(Q.pending_alerts(spark, SF))
 
 
-def test_single_file_inputs_are_spread_by_join_key(spark):
+def test_alert_queries_shuffle_no_bodies(spark):
+    for q in (Q.pending_alerts, Q.alert_payload_q, Q.alert_json):
+        merge = plan(q(spark, SF)).split("hashpartitioning(message_id")[0]
+        assert "body_clean" not in merge
+
+
+def test_mailbox_is_a_shuffle_join_that_aqe_can_split(spark):
     from triage.sources.mailbox import mailbox_view
 
     p = plan(mailbox_view(spark, SF))
-    assert "hashpartitioning(doc_id" in p and "hashpartitioning(doc_key" in p
+    assert "ShuffledHashJoin" in p and "ENSURE_REQUIREMENTS" in p and "REPARTITION_BY_NUM" not in p

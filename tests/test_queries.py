@@ -11,11 +11,14 @@ SF = "/root/testdata/sf0.001"
 
 def test_registry_complete():
     from __spark_entry__ import oracle_sql, queries
+    from triage.plans.oracle import ORACLE_SQL
+    from triage.plans.queries import QUERIES
 
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(__import__("__spark_entry__").queries()))
+@pytest.mark.parametrize("name", sorted(__import__("triage.plans.queries", fromlist=["QUERIES"]).QUERIES))
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF, [name], verbose=False)[name]
     assert res["ok"], res
@@ -34,13 +37,14 @@ SPARK_TO_DUCK = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType
 
 
 def test_column_types_match_oracle(spark):
-    from __spark_entry__ import oracle_sql, queries
     from tests.oracle_check import duck
+    from triage.plans.oracle import ORACLE_SQL
+    from triage.plans.queries import QUERIES
 
     con = duck(SF)
     bad = {}
-    for name, fn in queries().items():
-        rel = con.sql(oracle_sql()[name])
+    for name, fn in QUERIES.items():
+        rel = con.sql(ORACLE_SQL[name])
         want = dict(zip(rel.columns, [str(t) for t in rel.types]))
         got = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in fn(spark, SF).schema}
         if got != want:

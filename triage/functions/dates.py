@@ -83,8 +83,15 @@ def parse_rfc2822(c) -> Column:
     return F.when(ok, F.timestamp_add("MINUTE", -zone_offset_minutes(g(9)), local))
 
 
+#: a whole date, with a time or not: Spark's cast alone would also take a bare year, or a
+#: time of the current day
+ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]{1,6})?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+BASIC_ISO = r"^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})([0-9]{2})([0-9]{2})"
+
+
 def parse_iso(c) -> Column:
     """ISO-8601 text (``Z`` or an offset allowed) to UTC TIMESTAMP_NTZ, NULL on
     failure. Zone-less text is read as UTC (the session zone is UTC)."""
-    s = F.nullif(_col(c), F.lit(""))
-    return s.try_cast("timestamp").cast("timestamp_ntz")
+    s = _col(c)
+    basic = F.regexp_replace(s, BASIC_ISO, r"$1-$2-$3T$4:$5:$6")
+    return F.when(basic.rlike(ISO), basic.try_cast("timestamp").cast("timestamp_ntz"))

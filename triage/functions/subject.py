@@ -41,9 +41,10 @@ def candidate_columns(subject) -> dict[str, Column]:
     for i, (pattern, pos_group, comp_group) in enumerate(SUBJECT_PATTERNS, start=1):
         wrapped = FLAGS + "^(?s:.*?)(?:" + java_pattern(pattern) + ")(?s:.*)$"
         parts = F.split(F.regexp_replace(subj, wrapped, f"{SEP}${pos_group}{SEP}${comp_group}"), SEP)
+        odd = F.contains(subj, F.lit(SEP))  # the separator itself occurs: one extraction for each group
         hit = (F.size(parts) == 3) & (F.try_element_at(parts, F.lit(1)) == "")
-        out[f"_p{i}"] = F.when(hit, py_strip(F.try_element_at(parts, F.lit(2)))).otherwise(F.lit(""))
-        out[f"_c{i}"] = F.when(hit, py_strip(F.try_element_at(parts, F.lit(3)))).otherwise(F.lit(""))
+        out[f"_p{i}"] = F.when(odd, py_strip(F.regexp_extract(subj, wrapped, pos_group))).when(hit, py_strip(F.try_element_at(parts, F.lit(2)))).otherwise(F.lit(""))
+        out[f"_c{i}"] = F.when(odd, py_strip(F.regexp_extract(subj, wrapped, comp_group))).when(hit, py_strip(F.try_element_at(parts, F.lit(3)))).otherwise(F.lit(""))
     return out
 
 

@@ -222,15 +222,18 @@ _cols = ", ".join(SILVER_COLS)
 DEDUP_ORDER = ("TRY_CAST(trim(email_uid) AS BIGINT) DESC NULLS LAST, scraped_at DESC NULLS LAST, "
                "email_uid DESC NULLS LAST")
 
-STATE = f"""
+def state(cols: list[str], source: str = "sv") -> str:
+    """Target, batch, merged and pending rows of the given silver columns."""
+    names = ", ".join(cols)
+    return f"""
 {BOUNDS},
-trows AS (SELECT sv.* FROM sv, bounds WHERE sv.uid * 1000 <= bounds.lo * 400 + bounds.hi * 600),
-brows AS (SELECT sv.* FROM sv, bounds WHERE sv.uid * 1000 > bounds.lo * 600 + bounds.hi * 400),
-tg AS (SELECT {_cols} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn FROM trows) WHERE _rn = 1),
-bd AS (SELECT {_cols} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn FROM brows) WHERE _rn = 1),
+trows AS (SELECT s.* FROM {source} s, bounds WHERE s.uid * 1000 <= bounds.lo * 400 + bounds.hi * 600),
+brows AS (SELECT s.* FROM {source} s, bounds WHERE s.uid * 1000 > bounds.lo * 600 + bounds.hi * 400),
+tg AS (SELECT {names} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn FROM trows) WHERE _rn = 1),
+bd AS (SELECT {names} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn FROM brows) WHERE _rn = 1),
 merged AS (
   SELECT coalesce(b.message_id, t.message_id) AS message_id,
-         {", ".join(f"CASE WHEN b.message_id IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}" for c in UPSERT_COLS if c != "message_id")},
+         {", ".join(f"CASE WHEN b.message_id IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}" for c in cols if c != "alerta_enviado" and c != "message_id")},
          coalesce(t.alerta_enviado, false) AS alerta_enviado
   FROM tg t FULL OUTER JOIN bd b ON t.message_id = b.message_id
 ),
@@ -240,6 +243,20 @@ pend AS (
   ORDER BY date_received DESC NULLS LAST, message_id ASC LIMIT {LIMIT}
 )"""
 
+
+STATE = state(SILVER_COLS)
+
+# what the keys need, read once: no body, no silver row
+KEYS = f"""
+km AS MATERIALIZED (SELECT mailbox, uid, message_id FROM mb),
+{BOUNDS},
+ks AS (SELECT km.* FROM km WHERE coalesce({strip("message_id")} <> '', false)),
+kt AS (SELECT ks.* FROM ks, bounds WHERE ks.uid * 1000 <= bounds.lo * 400 + bounds.hi * 600),
+kb AS (SELECT ks.* FROM ks, bounds WHERE ks.uid * 1000 > bounds.lo * 600 + bounds.hi * 400)"""
+
+FLAG_COLS = ["message_id", "email_uid", "company_name", "position", "status", "date_received", "scraped_at", "alerta_enviado"]
+FLAGS = f"ns AS MATERIALIZED (SELECT uid, {', '.join(FLAG_COLS)} FROM sv),\n" + state(FLAG_COLS, "ns").strip()
+
 OUTCOMES = """
 outc AS (
   SELECT message_id,
@@ -266,6 +283,8 @@ def build() -> dict[str, str]:
     w_mb = _with(MAILBOX)
     w_sv = _with(MAILBOX, SILVER)
     w_state = _with(MAILBOX, SILVER, STATE)
+    w_keys = _with(MAILBOX, KEYS)
+    w_flags = _with(MAILBOX, SILVER, FLAGS)
     w_out = _with(MAILBOX, SILVER, STATE, OUTCOMES)
     kw_any = " OR ".join(_kw_flags("subject"))
     flags = _kw_flags("subject")
@@ -280,10 +299,10 @@ def build() -> dict[str, str]:
         "bronze_messages": w_mb + "SELECT mailbox, uid, email_id, message_id, sender, subject, date, body, scraped_at FROM mb",
         "search_keywords": w_mb + f"SELECT uid, subject FROM mb WHERE {kw_any}",
         "keyword_hits": w_mb + kw_rows,
-        "unseen_messages": w_state + "SELECT uid, message_id FROM mb WHERE message_id NOT IN (SELECT message_id FROM trows)",
-        "uid_watermark": w_state + (
-            "SELECT mb.mailbox, mb.uid FROM mb LEFT JOIN (SELECT mailbox, max(uid) AS last_uid FROM trows GROUP BY mailbox) m "
-            "ON mb.mailbox = m.mailbox WHERE mb.uid > coalesce(m.last_uid, 0)"),
+        "unseen_messages": w_keys + "SELECT uid, message_id FROM km WHERE NOT EXISTS (SELECT 1 FROM kt WHERE kt.message_id = km.message_id)",
+        "uid_watermark": w_keys + (
+            "SELECT km.mailbox, km.uid FROM km LEFT JOIN (SELECT mailbox, max(uid) AS last_uid FROM kt GROUP BY mailbox) m "
+            "ON km.mailbox = m.mailbox WHERE km.uid > coalesce(m.last_uid, 0)"),
         "numeric_uid": w_mb + "SELECT email_id, TRY_CAST(trim(email_id) AS BIGINT) AS uid_num FROM mb WHERE TRY_CAST(trim(email_id) AS BIGINT) IS NOT NULL",
         "drop_missing_id": w_mb + f"SELECT uid, email_id, substr(coalesce(subject, ''), 1, 60) AS subject_head FROM mb WHERE NOT coalesce({strip('message_id')} <> '', false)",
         "normalize_text": f"SELECT conv_id, turn, {normalize('text')} AS text_norm FROM conversations",
@@ -300,16 +319,16 @@ def build() -> dict[str, str]:
         "html_to_text": _html_sql(),
         "valid_email": w_mb + (f"SELECT uid, {addr} AS address, coalesce(regexp_matches({strip(addr)}, "
                                f"{q(EMAIL_ADDRESS_PATTERN)}), false) AS is_valid FROM mb"),
-        "existing_keys": w_state + (
+        "existing_keys": w_keys + (
             "SELECT b.uid, b.message_id, (t.message_id IS NOT NULL) AS existed "
-            "FROM brows b LEFT JOIN tg t ON b.message_id = t.message_id"),
+            "FROM kb b LEFT JOIN (SELECT DISTINCT message_id FROM kt) t ON b.message_id = t.message_id"),
         "upsert_counts": w_state + (
             "SELECT CAST(count_if(t.message_id IS NULL) AS BIGINT) AS inserted, "
             "CAST(count_if(t.message_id IS NOT NULL) AS BIGINT) AS updated "
             "FROM brows b LEFT JOIN tg t ON b.message_id = t.message_id"),
         "upsert_merge": w_state + f"SELECT {_cols} FROM merged",
         "pending_alerts": w_state + "SELECT message_id, company_name, position, status, date_received FROM pend",
-        "mark_alerted": w_state + (
+        "mark_alerted": w_flags + (
             "SELECT message_id, status, (message_id IN (SELECT message_id FROM pend)) OR alerta_enviado AS alerta_enviado FROM merged"),
         "status_label": w_sv + f"SELECT uid, status, {status_label('status', '')} AS label FROM sv",
         "alert_payload": w_state + f"SELECT message_id, {payload('company_name', 'position', 'status')} AS payload FROM merged",

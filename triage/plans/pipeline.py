@@ -32,6 +32,11 @@ def _kv(df: DataFrame, names: list[str]) -> DataFrame:
     return df.selectExpr(f"stack({len(names)}, {args}) AS (k, v)")
 
 
+#: what counters, merge order and alerts read; bodies are not copied
+RUN_COLUMNS = ["message_id", "email_uid", "scraped_at", "company_name", "position", "status", "date_received",
+               "alerta_enviado"]
+
+
 def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit: int = 50,
                transport=None, handoff_root: str | None = None) -> DataFrame:
     """One row of run counters for one batch run. ``gold`` holds the existing
@@ -45,14 +50,14 @@ def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit:
     """
     spark = mailbox.sparkSession
     fetched = select_new(mailbox, ingested)
-    tagged = mg.tag(gold, to_silver(fetched).select(*SILVER_COLUMNS))
+    tagged = mg.tag(gold, to_silver(fetched).select(*SILVER_COLUMNS)).select(*RUN_COLUMNS, "_side")
     root = handoff_root or scratch_path(spark, "run")
     path = write_handoff(tagged, root, 0)
     run = spark.read.parquet(path)
 
     batch_n = run.where(F.col("_side") == mg.BATCH).agg(F.count(F.lit(1)).alias("silver"))
     counts = mg.counts_tagged(run)
-    merged = mg.merge_tagged(run)
+    merged = mg.merge_tagged(run, columns=RUN_COLUMNS)
     outcomes = dlv.deliver(nt.pending_alerts(merged, limit), transport=transport)
     parts = [
         _kv(batch_n.withColumn("bronze", F.col("silver")), ["bronze", "silver"]),

@@ -24,7 +24,7 @@ from triage.operators import search as sr
 from triage.operators.silver import quarantine_missing_id, to_silver
 from triage.plans import fixture as fx
 from triage.schema import BRONZE_SCHEMA, SILVER_COLUMNS
-from triage.session import prepare, spread
+from triage.session import prepare
 from triage.sources import handoff, mime
 from triage.sources.mailbox import mailbox_view
 
@@ -35,7 +35,7 @@ ALERT_LIMIT = 50
 
 def _read(spark, sf_dir, name) -> DataFrame:
     prepare(spark)
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # -- sources and selection ---------------------------------------------------
@@ -142,8 +142,11 @@ def upsert_counts(spark, d):
     return mg.counts_tagged(fx.tagged_rows(spark, d))
 
 
-def merged_gold(spark, d) -> DataFrame:
-    return mg.merge_tagged(fx.tagged_rows(spark, d))
+def merged_gold(spark, d, columns=None) -> DataFrame:
+    return mg.merge_tagged(fx.tagged_rows(spark, d), columns=columns)
+
+
+ALERT_COLUMNS = ["message_id", "email_uid", "company_name", "position", "status", "date_received", "alerta_enviado"]
 
 
 def upsert_merge(spark, d):
@@ -151,7 +154,7 @@ def upsert_merge(spark, d):
 
 
 def pending_alerts(spark, d):
-    return nt.pending_alerts(merged_gold(spark, d), ALERT_LIMIT).drop("email_uid")
+    return nt.pending_alerts(merged_gold(spark, d, ALERT_COLUMNS), ALERT_LIMIT).drop("email_uid")
 
 
 def mark_alerted(spark, d):
@@ -159,7 +162,7 @@ def mark_alerted(spark, d):
     # shared checkpoint folder instead of merged twice.
     from triage.session import materialize
 
-    gold = materialize(merged_gold(spark, d))
+    gold = materialize(merged_gold(spark, d, ALERT_COLUMNS))
     ledger = dlv.deliver(nt.pending_alerts(gold, ALERT_LIMIT), transport=None)
     return nt.apply_alert_flag(gold, ledger).select("message_id", "status", "alerta_enviado")
 
@@ -173,7 +176,7 @@ def status_label_q(spark, d):
 def alert_payload_q(spark, d):
     from triage.functions import alert_payload
 
-    g = merged_gold(spark, d)
+    g = merged_gold(spark, d, ALERT_COLUMNS)
     return g.select("message_id", alert_payload(F.col("company_name"), F.col("position"),
                                                 F.col("status")).alias("payload"))
 
@@ -181,14 +184,14 @@ def alert_payload_q(spark, d):
 def alert_subject_q(spark, d):
     from triage.functions import alert_subject
 
-    g = merged_gold(spark, d)
+    g = merged_gold(spark, d, ALERT_COLUMNS)
     return g.select("message_id", alert_subject(F.col("company_name"), F.col("status")).alias("alert_subject"))
 
 
 def alert_message_q(spark, d):
     from triage.functions import alert_message
 
-    pend = nt.pending_alerts(merged_gold(spark, d), ALERT_LIMIT)
+    pend = nt.pending_alerts(merged_gold(spark, d, ALERT_COLUMNS), ALERT_LIMIT)
     msgs = dlv.alert_frame(pend, ALERT_SENDER, None)
     m = alert_message(F.col("subject"), F.col("body"), F.col("from_addr"), F.col("to_addr"),
                       F.col("message_id")).alias("m")
@@ -199,7 +202,7 @@ def alert_message_q(spark, d):
 
 
 def alert_json(spark, d):
-    pend = nt.pending_alerts(merged_gold(spark, d), ALERT_LIMIT)
+    pend = nt.pending_alerts(merged_gold(spark, d, ALERT_COLUMNS), ALERT_LIMIT)
     lines = nt.fallback_lines(pend)
     return lines.select("message_id",
                         F.get_json_object("value", "$.message_id").alias("json_message_id"),
@@ -209,7 +212,7 @@ def alert_json(spark, d):
 # -- delivery ------------------------------------------------------------------
 
 def _outcomes(spark, d) -> DataFrame:
-    pend = nt.pending_alerts(merged_gold(spark, d), ALERT_LIMIT)
+    pend = nt.pending_alerts(merged_gold(spark, d, ALERT_COLUMNS), ALERT_LIMIT)
     return dlv.deliver(pend, transport=dlv.ScriptedTransport(),
                        policy=dlv.RetryPolicy(backoff_base=0.0),
                        sender=ALERT_SENDER, recipient=ALERT_RECIPIENT)
@@ -264,7 +267,7 @@ def stream_gold(spark, d):
     bronze(mb.where(lo_half)).write.parquet(f"{root}/part=0")
     bronze(mb.where(~lo_half)).write.parquet(f"{root}/part=1")
     store = KeyedStore(spark, scratch_path(spark, "stream-store"))
-    run_stream(spark, f"{root}/*", store, checkpoint=f"{root}-ckpt", max_files_per_trigger=None)
+    run_stream(spark, f"{root}/*", store, checkpoint=f"{root}-ckpt", max_files_per_trigger=1)
     return store.gold()
 
 

@@ -42,67 +42,32 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder shared by driver and executors for durable intermediate data."""
+    """Folder shared by driver and executors for durable intermediate data.
+
+    Only a local session (tests, a laptop) may make one of its own; on a
+    cluster a missing ``spark.checkpoint.dir`` is an error."""
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        # Only reached outside a cluster: tests and local runs.
-        path = tempfile.mkdtemp(prefix="triage-ckpt-")
-        sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir() or path
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="triage-ckpt-"))
+        path = sc.getCheckpointDir()
     return path.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder for one job's output."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df, *keys, source=None, min_partitions: int | None = None):
-    """Spread rows read from few files over the cluster.
-
-    A table stored as one large file (one row group) is read by one task,
-    whatever its byte-range split count says, and every narrow step after it
-    (regexes, the MIME job) would run on one core. When the input has so few
-    files that it could use at most a quarter of ``spark.default.parallelism``,
-    hash-partition ``df`` by ``keys`` (round-robin without keys) into that many
-    partitions, so a following join on the same keys reuses the partitioning.
-    The decision reads only the file listing of ``source`` (default ``df``);
-    a table of many files is returned as is: no extra shuffle at scale.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    files = len((source if source is not None else df).inputFiles())
-    if files * 4 > want:
-        return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
-
-
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def materialize(df):
-    """Write ``df`` once below ``spark.checkpoint.dir`` and return the written
-    copy (lineage cut). It is cached while being written, because a plain
-    checkpoint would compute it twice."""
-    shared_dir(df.sparkSession)
-    cached = df.persist()
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
-
-
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast ``df`` only after checking its size, else leave the join to a
-    shuffle (and AQE's skew split).
-
-    The frame is checkpointed (written once below ``spark.checkpoint.dir``,
-    lineage cut) and counted from the written copy; it is broadcast only
-    when it has at most ``max_rows`` rows. Meant for small derived tables
-    whose size has no static bound, such as one row per mailbox.
-    """
-    from pyspark.sql import functions as F
-
-    df = materialize(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    """A fresh sub-folder of the shared folder for one job's output, removed
+    when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
+
+
+def materialize(df, name: str = "table"):
+    """``df`` written once below the shared folder as Parquet and read again
+    (lineage cut, later reads prune columns)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from triage.operators import search as sr
 from triage.operators.silver import to_silver
 from triage.schema import SEARCH_KEYWORDS
-from triage.session import scratch_path
 from triage.sources.mailbox import read_messages
 from triage.sources.store import KeyedStore
 
@@ -45,9 +44,11 @@ def run_stream(spark: SparkSession, source: str, store: KeyedStore, stream: str
     if max_files_per_trigger:
         reader = (spark.readStream.schema(reader.schema).format(fmt)
                   .option("maxFilesPerTrigger", max_files_per_trigger).load(source))
+    checkpoint = checkpoint or f"{store.root}/checkpoints/{stream}"
+    store.claim_stream(stream, checkpoint)
     q = (reader.writeStream
          .foreachBatch(micro_batch(store, stream, keywords, counters))
-         .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{stream}"))
+         .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
