@@ -18,8 +18,9 @@ and offset of what fails.
 
 Of records with equal payloads of ``REVISIT_BYTES`` or more, that with the
 smallest page id is the response, the others are revisits that refer to it.
-They are found by digest: an aggregate that is combined map-side and a join
-on the digest, which spreads a hot payload.
+They are found in a narrow table of ids and digests: an aggregate that is
+combined map-side and a join on the digest, whose hot partitions AQE splits;
+payloads are shuffled once.
 
 Defined results: a null html is an empty payload; a null url has no
 ``WARC-Target-URI``; control characters, spaces and ``%`` of a url are
@@ -172,22 +173,24 @@ def train_dictionary(pages: DataFrame, id_col: str = "page_id", html_col: str =
         return b""
 
 
-def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                  least: int = REVISIT_BYTES) -> DataFrame:
-    """(page_id, url, payload, digest, revisit, refers_to)."""
-    p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
-                     F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("payload"))
-    p = p.withColumn("digest", F.sha2("payload", 256))
-    # a digest in the narrow table has two pages or more; null ids come before others
-    first = (pages.select(F.col(id_col).alias("_id"), F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("_p"))
-             .where(F.octet_length("_p") >= least)
-             .groupBy(F.sha2("_p", 256).alias("_d")).agg(F.count("*").alias("_n"), F.min("_id").alias("_min"),
-                                                         F.max(F.col("_id").isNull()).alias("_null"))
-             .where("_n > 1").select("_d", F.when(~F.col("_null"), F.col("_min")).alias("_first")))
-    revisit = F.col("_d").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
-    return (p.join(first, F.col("digest") == F.col("_d"), "left")
-            .select("page_id", "url", "payload", "digest", revisit.alias("revisit"),
-                    F.when(revisit, F.col("_first")).alias("refers_to")))
+def page_key(id_col: str, url_col: str):
+    """A page's id as text; pages without an id are told apart by url."""
+    return F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("no id:"), F.xxhash64(F.col(url_col)).cast("string")))
+
+
+def revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+             least: int = REVISIT_BYTES) -> DataFrame:
+    """(key, refers): for each page that is a revisit, the digests of its
+    payloads and the pages they refer to. Only ids and digests are shuffled,
+    not payloads."""
+    payload = F.col(html_col).cast("binary")
+    narrow = (pages.where(F.octet_length(payload) >= least)
+              .select(F.col(id_col).alias("id"), page_key(id_col, url_col).alias("key"), F.sha2(payload, 256).alias("digest")))
+    # null ids come before others
+    first = (narrow.groupBy("digest").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.max(F.col("id").isNull()).alias("odd"))
+             .where("n > 1").select("digest", F.when(~F.col("odd"), F.col("least")).alias("first")))
+    return (narrow.join(first, "digest").where(~F.col("id").eqNullSafe(F.col("first")))
+            .groupBy("key").agg(F.collect_set(F.struct("digest", F.col("first").cast("string").alias("first"))).alias("refers")))
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
@@ -200,11 +203,16 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     shared = spark.sparkContext.broadcast(dictionary)
     size = pages.agg(F.sum(F.octet_length(F.col(html_col).cast("binary")) + 600)).first()[0] or 0
     parts = max(1, -(-size // (4 * archive_bytes)))  # html shrinks to a quarter or less
-    rows = (mark_revisits(pages, id_col, url_col, html_col)
-            .select(F.col("page_id").cast("string").alias("page"), "url", "payload", "digest", "revisit",
-                    F.col("refers_to").cast("string").alias("refers_to"), "page_id")
-            .repartitionByRange(parts, F.col("page_id").asc_nulls_first(), F.xxhash64("url"))
-            .sortWithinPartitions(F.col("page_id").asc_nulls_first(), "url").drop("page_id"))
+    # both sides are dealt out by the page's key, so that payloads are shuffled once, for the join and the archives
+    whole = pages.select(page_key(id_col, url_col).alias("key"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
+                         F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("payload")).repartition(parts, "key")
+    marks = revisits(pages, id_col, url_col, html_col).repartition(parts, "key")
+    rows = whole.join(marks, "key", "left").withColumn("digest", F.sha2("payload", 256))
+    rows = rows.withColumn("own", F.get(F.filter("refers", lambda x: x["digest"] == F.col("digest")), F.lit(0)))
+    rows = (rows.sortWithinPartitions(F.col("page_id").asc_nulls_first(), "url")
+            .select(F.col("page_id").cast("string").alias("page"), "url", "payload", "digest",
+                    F.coalesce(F.col("own").isNotNull() & F.col("page_id").isNotNull(), F.lit(False)).alias("revisit"),
+                    F.col("own.first").alias("refers_to")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = shared.value
