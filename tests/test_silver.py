@@ -1,4 +1,4 @@
-"""Silver transform (X20, F5, F10) on the reference's sample records."""
+"""Silver transform (X20, F5, F10) on the sample records."""
 
 from __future__ import annotations
 
@@ -13,37 +13,28 @@ def test_columns_and_order(spark, make_bronze, sample_records):
     assert df.columns == SILVER_COLUMNS
 
 
-def test_three_records(spark, make_bronze, sample_records):
-    rows = {r["email_uid"]: r for r in to_silver(make_bronze(sample_records)).collect()}
-    assert len(rows) == 3
-    assert rows["101"]["status"] == "rejected"
-    assert rows["102"]["status"] == "advanced"
-    assert rows["103"]["status"] == "unknown"
-    assert (rows["101"]["position"], rows["101"]["company_name"]) == ("Software Engineer Intern", "Grab")
-    assert (rows["102"]["position"], rows["102"]["company_name"]) == ("Next steps: Backend Engineer Intern", "Stripe")
-    assert (rows["103"]["position"], rows["103"]["company_name"]) == ("Hello there", "Unknown")
-    assert rows["101"]["subject"] == "Application for Software Engineer Intern - Grab"
-    assert {r["sender_domain"] for r in rows.values()} == {"grab.com", "stripe.com", "unknown.io"}
-    assert not any(r["alerta_enviado"] for r in rows.values())
-    assert rows["101"]["date_received"].isoformat() == "2026-07-14T09:42:11"
-    assert rows["101"]["scraped_at"].isoformat() == "2026-07-14T09:42:30"
-    assert rows["101"]["body_clean"] == "unfortunately, we will not be moving forward with your application."
+def test_sample_records(spark, make_bronze, sample_records):
+    rows = sorted(to_silver(make_bronze(sample_records)).collect(), key=lambda r: r["email_uid"])
+    got = [(r["status"], r["position"], r["company_name"], r["sender_domain"]) for r in rows]
+    assert got == [("rejected", "Harbour Analyst", "Norwind", "norwind.example"),
+                   ("advanced", "Lab position", "Tidal", "tidal.example"),
+                   ("unknown", "Seven maps of the coast", "Weekly", "weekly.example")]
+    assert [r["subject"] for r in rows] == [x["subject"] for x in sample_records]
+    assert rows[0]["body_clean"] == "we regret that the post is filled."
+    assert (rows[0]["date_received"].isoformat(), rows[0]["scraped_at"].isoformat()) == \
+        ("2026-03-02T07:15:05", "2026-03-02T07:15:35")
+    assert {r["alerta_enviado"] for r in rows} == {False}
 
 
 def test_drops_missing_message_id(spark, make_bronze):
-    recs = [
-        {"email_id": "1", "message_id": "", "sender": "x@y.com", "subject": "Hi", "date": "",
-         "body": "Body", "scraped_at": "2026-01-01T00:00:00+00:00"},
-        {"email_id": "2", "message_id": "<valid@x.com>", "sender": "x@y.com", "subject": "Hi",
-         "date": "", "body": "Body", "scraped_at": "2026-01-01T00:00:00+00:00"},
-        {"email_id": "3", "message_id": "   ", "sender": "x@y.com", "subject": "S" * 80,
-         "date": "", "body": "Body", "scraped_at": ""},
-        {"email_id": "4", "message_id": None, "sender": None, "subject": None, "date": None,
-         "body": None, "scraped_at": None},
-    ]
+    blank = dict.fromkeys(["email_id", "message_id", "sender", "subject", "date", "body", "scraped_at"])
+    recs = [dict(blank, email_id="1", message_id="", subject="no key"),
+            dict(blank, email_id="2", message_id="<k2>"),
+            dict(blank, email_id="3", message_id=" \t ", subject="S" * 80),
+            dict(blank, email_id="4")]
     bronze = make_bronze(recs)
     rows = to_silver(bronze).collect()
-    assert [r["message_id"] for r in rows] == ["<valid@x.com>"]
+    assert [r["message_id"] for r in rows] == ["<k2>"]
     assert rows[0]["date_received"] is None
     q = {r["email_id"]: r["subject_head"] for r in quarantine_missing_id(bronze).collect()}
     assert set(q) == {"1", "3", "4"} and q["3"] == "S" * 60 and q["4"] == ""
@@ -59,6 +50,15 @@ def test_contract_violation(spark):
         to_silver(spark.createDataFrame([("<a@b.com>",)], "message_id string"))
 
 
+def test_contract_compares_types(spark, make_bronze, sample_records):
+    from pyspark.sql import functions as F
+
+    with pytest.raises(ContractError, match="body"):
+        to_silver(make_bronze(sample_records).withColumn("body", F.lit(1)))
+    untyped = make_bronze(sample_records).withColumn("date", F.lit(None))
+    assert to_silver(untyped).where("date_received is null").count() == 3
+
+
 def test_no_python_in_silver_plan(spark, make_bronze, sample_records):
     plan = to_silver(make_bronze(sample_records))._jdf.queryExecution().executedPlan().toString()
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "Exchange"):

@@ -13,6 +13,20 @@ from triage.streaming.ingest import run_stream
 SF = "/root/testdata/sf0.001"
 
 
+def test_raw_mail_streams_into_the_store(spark, tmp_root):
+    from tests.test_pipeline import MAILS, raw_frame
+
+    src = f"{tmp_root}/mail"
+    raw_frame(spark, MAILS).coalesce(1).write.parquet(f"{src}/a")
+    raw_frame(spark, [(31, b"")]).coalesce(1).write.parquet(f"{src}/b")
+    store = KeyedStore(spark, f"{tmp_root}/raw")
+    got = run_stream(spark, f"{src}/*", store, stream="raw", raw=True, max_files_per_trigger=1)
+    assert len(got) == 2 and sum(c["inserted"] for _, c in got) == 3
+    assert {r["status"] for r in store.gold().collect()} == {"rejected", "advanced", "unknown"}
+    assert [(r["uid"], r["reason"]) for r in store.quarantine().collect()] == [(31, "empty_payload")]
+    assert run_stream(spark, f"{src}/*", store, stream="raw", raw=True) == []
+
+
 def test_stream_equals_batch(spark, tmp_root):
     mb = mailbox_view(spark, SF)
     src = f"{tmp_root}/inbox"

@@ -50,7 +50,7 @@ def candidate_columns(subject) -> dict[str, Column]:
 
 def choose(subject, sender, cands: dict[str, Column] | None = None) -> tuple[Column, Column]:
     """``(position, company_name)`` from the candidate columns (by default the
-    columns ``_p1 .. _c4`` of a frame made with ``with_candidates``)."""
+    columns ``_p1 .. _c4`` added by ``withColumns(candidate_columns(...))``)."""
     n = len(SUBJECT_PATTERNS)
     c = cands or {f"_{k}{i}": F.col(f"_{k}{i}") for i in range(1, n + 1) for k in "pc"}
     subj = F.coalesce(_col(subject), F.lit(""))
@@ -67,9 +67,3 @@ def choose(subject, sender, cands: dict[str, Column] | None = None) -> tuple[Col
 def position_and_company(subject, sender) -> tuple[Column, Column]:
     """Return ``(position, company_name)`` columns in one expression."""
     return choose(subject, sender, candidate_columns(subject))
-
-
-def with_candidates(df, subject: str = "subject"):
-    """Add the candidate columns in their own projection, so that each
-    pattern is evaluated once per row however often ``choose`` reads it."""
-    return df.withColumns(candidate_columns(F.col(subject)))

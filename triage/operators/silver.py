@@ -9,7 +9,7 @@ from triage.functions import (
     classify_text, collapse_ws, head, parse_iso, parse_rfc2822, py_strip, sender_domain,
 )
 from triage.functions.subject import choose
-from triage.schema import BRONZE_SCHEMA, check_columns
+from triage.schema import BRONZE_SCHEMA, check_columns, check_types
 
 
 def _s(name: str):
@@ -66,6 +66,7 @@ def to_silver(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     flag starts false.
     """
     check_columns(bronze, BRONZE_SCHEMA.fieldNames(), "silver")
+    check_types(bronze, BRONZE_SCHEMA, "silver")
     present, candidates, exprs = _silver_exprs()
     staged = bronze.where(present).withColumns(candidates)
     return staged.select(*exprs, *keep)

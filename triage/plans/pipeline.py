@@ -23,7 +23,7 @@ def select_new(mailbox: DataFrame, ingested: DataFrame) -> DataFrame:
     """Messages a run fetches: subject keyword hit, numeric UID above the
     mailbox's mark, and a Message-ID (F1, F3, F4, F5)."""
     marks = sr.watermarks(ingested)
-    hits = sr.search(mailbox).where(sr.numeric_uid(F.col("email_id")).isNotNull())
+    hits = sr.search(sr.not_seen(mailbox)).where(sr.numeric_uid(F.col("email_id")).isNotNull())
     return sr.above_watermark(hits, marks).where(key_present())
 
 
@@ -72,21 +72,28 @@ def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit:
 def run_batch(messages: DataFrame, store, transport=None, limit: int = 50,
               fallback_log: str | None = None, sender: str | None = None,
               recipient: str | None = None, run_id: str | None = None) -> dict:
-    """One whole run over parsed messages (``mailbox, uid`` + bronze columns):
-    select above each mailbox's mark, silver, upsert, advance the marks,
-    notify. Returns ``{bronze, gold: {inserted, updated}, notify: {...}}``."""
+    """One whole run over parsed messages (``mailbox, uid`` + bronze columns,
+    and if they come from ``mime.stamp`` their ``_error``): select the unseen
+    above each mailbox's mark, silver, upsert, put aside what can't be used,
+    advance the marks, notify. Returns ``{bronze, gold: {inserted, updated},
+    notify: {...}}``; ``store.quarantine()`` has what was put aside.
+
+    The marks move past a message only after it is in the store or in the
+    quarantine, so that a run that fails before leaves it to the next one."""
     import time as _time
 
     run_id = run_id or str(_time.time_ns())
-    fetched = sr.above_watermark(
-        sr.search(messages).where(sr.numeric_uid(F.col("email_id")).isNotNull()),
-        store.marks()).where(key_present())
+    fetched = sr.usable(sr.above_watermark(sr.not_seen(messages), store.marks()))
     root = scratch_path(messages.sparkSession, "batch")
     path = write_handoff(fetched, root, 0)          # cut lineage: fetched once
-    fetched = messages.sparkSession.read.parquet(path)
-    bronze_n = fetched.count()
-    gold = store.upsert(to_silver(fetched), stream="batch") if bronze_n else {"inserted": 0, "updated": 0}
-    if bronze_n:
+    fetched = messages.sparkSession.read.schema(fetched.schema).parquet(path)
+    found = fetched.agg(F.count_if(F.col("_reason").isNull()).alias("good"), F.count("_reason").alias("bad")).first()
+    bronze_n = found["good"]
+    good = fetched.where(F.col("_reason").isNull())
+    gold = store.upsert(to_silver(good), stream="batch") if bronze_n else {"inserted": 0, "updated": 0}
+    if found["bad"]:
+        store.put_aside(sr.rejects(fetched), run_id)
+    if bronze_n or found["bad"]:
         store.advance_marks(fetched, run_id)
     notify = store.notify(transport=transport, limit=limit, fallback_log=fallback_log,
                           sender=sender, recipient=recipient, run_id=run_id)

@@ -213,7 +213,7 @@ def alert_json(spark, d):
 
 def _outcomes(spark, d) -> DataFrame:
     pend = nt.pending_alerts(merged_gold(spark, d, ALERT_COLUMNS), ALERT_LIMIT)
-    return dlv.deliver(pend, transport=dlv.ScriptedTransport(),
+    return dlv.deliver(pend, transport=fx.answer_by_uid,
                        policy=dlv.RetryPolicy(backoff_base=0.0),
                        sender=ALERT_SENDER, recipient=ALERT_RECIPIENT)
 

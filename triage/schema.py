@@ -67,15 +67,7 @@ STATUS_LABELS = {
 # Statuses that produce an alert.
 ALERT_STATUSES = ["rejected", "advanced"]
 
-# Alert body template (plain text) and the subject-line separator.
-PAYLOAD_HEADER = "Update on your internship application"
-PAYLOAD_TEMPLATE = (
-    "Update on your internship application\n"
-    "\n"
-    "  Company : {company}\n"
-    "  Role    : {position}\n"
-    "  Status  : {label}\n"
-)
+# Words of alerts for missing fields, and the subject-line separator.
 UNKNOWN_FIELD = "Unknown"
 UNKNOWN_EMPLOYER = "An employer"
 SUBJECT_SEPARATOR = " — "
@@ -167,3 +159,12 @@ def check_columns(df, required, stage: str) -> None:
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ContractError(f"{stage}: missing columns {missing}")
+
+
+def check_types(df, schema: T.StructType, stage: str) -> None:
+    """Fail before any job runs when a column of ``schema`` that ``df`` has is
+    of another type (a column that is all NULL may be untyped)."""
+    wrong = {f.name: df.schema[f.name].dataType.simpleString() for f in schema.fields
+             if f.name in df.columns and df.schema[f.name].dataType not in (f.dataType, T.NullType())}
+    if wrong:
+        raise ContractError(f"{stage}: columns of another type {wrong}")

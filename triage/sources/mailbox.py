@@ -40,21 +40,22 @@ FIXTURE_MAILBOXES = 4
 
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet",
-                  stream: bool = False) -> DataFrame:
+                  stream: bool = False, **options) -> DataFrame:
     """Parsed messages with ``BRONZE_SCHEMA`` (no schema inference)."""
-    reader = spark.readStream if stream else spark.read
+    reader = (spark.readStream if stream else spark.read).options(**options)
     return reader.schema(BRONZE_SCHEMA).format(fmt).load(path)
 
 
-def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Raw messages with ``RAW_SCHEMA``.
+def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", stream: bool = False, **options) -> DataFrame:
+    """Raw messages with ``RAW_SCHEMA``, as a batch or a stream of files.
 
     ``fmt="binaryFile"`` reads one message per file: the UID is the numeric
     file name (NULL otherwise), the mailbox the parent folder name.
     """
+    reader = (spark.readStream if stream else spark.read).options(**options)
     if fmt != "binaryFile":
-        return spark.read.schema(RAW_SCHEMA).format(fmt).load(path)
-    files = spark.read.format("binaryFile").load(path)
+        return reader.schema(RAW_SCHEMA).format(fmt).load(path)
+    files = reader.format("binaryFile").load(path)
     name = F.element_at(F.split(F.col("path"), "/"), -1)
     folder = F.element_at(F.split(F.col("path"), "/"), -2)
     return files.select(

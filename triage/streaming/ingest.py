@@ -1,16 +1,20 @@
 """Incremental ingest with Structured Streaming.
 
-New message files are read as a stream with the bronze schema; every
-micro-batch goes through selection and silver and is upserted into the keyed
-store as batch ``epoch_id`` of this stream. With ``availableNow`` the query
+New message files are read as a stream, parsed messages with the bronze schema
+or raw mail (``raw=True``: each micro-batch is parsed first); every micro-batch
+goes through selection and silver and is upserted into the keyed store as
+batch ``epoch_id`` of this stream. Messages that can't be used go to the
+store's quarantine under the same epoch. With ``availableNow`` the query
 processes what is there and stops, which replaces an hourly scheduled run; a
 second run on unchanged input processes nothing (the checkpoint remembers the
-files). A replayed epoch overwrites its own log partition, so the store is
+files). A replayed epoch overwrites its own log partition and
+quarantine, so the store is
 exactly-once even though the sink is not transactional.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,16 +23,24 @@ from pyspark.sql import functions as F
 from triage.operators import search as sr
 from triage.operators.silver import to_silver
 from triage.schema import SEARCH_KEYWORDS
-from triage.sources.mailbox import read_messages
+from triage.session import materialize
+from triage.sources import mime
+from triage.sources.mailbox import read_messages, read_raw
 from triage.sources.store import KeyedStore
 
 
-def micro_batch(store: KeyedStore, stream: str, keywords=SEARCH_KEYWORDS, counters=None):
-    """The ``foreachBatch`` function: keyword search, silver, upsert."""
+def micro_batch(store: KeyedStore, stream: str, keywords=SEARCH_KEYWORDS, counters=None, raw: bool = False):
+    """The ``foreachBatch`` function: (parse,) keyword search, silver, upsert."""
 
     def run(df: DataFrame, epoch_id: int) -> None:
-        picked = sr.search(df, keywords).where(sr.numeric_uid(F.col("email_id")).isNotNull())
-        counts = store.upsert(to_silver(picked), stream=stream, batch_id=int(epoch_id))
+        if raw:
+            now = dt.datetime.now(dt.timezone.utc).isoformat()
+            # parsed once: the upsert and the quarantine read the copy
+            df = materialize(mime.stamp(mime.parse_raw(df), now), f"{stream}-parsed")
+        fetched = sr.usable(df, keywords)
+        counts = store.upsert(to_silver(fetched.where(F.col("_reason").isNull())), stream=stream,
+                              batch_id=int(epoch_id))
+        store.put_aside(sr.rejects(fetched), f"{stream}-{int(epoch_id)}")
         if counters is not None:
             counters.append((int(epoch_id), counts))
 
@@ -37,17 +49,15 @@ def micro_batch(store: KeyedStore, stream: str, keywords=SEARCH_KEYWORDS, counte
 
 def run_stream(spark: SparkSession, source: str, store: KeyedStore, stream: str = "mail",
                checkpoint: Optional[str] = None, fmt: str = "parquet",
-               keywords=SEARCH_KEYWORDS, max_files_per_trigger: Optional[int] = None) -> list:
+               keywords=SEARCH_KEYWORDS, max_files_per_trigger: Optional[int] = None, raw: bool = False) -> list:
     """Process all available input once; returns ``[(epoch, counts), ...]``."""
     counters: list = []
-    reader = read_messages(spark, source, fmt=fmt, stream=True)
-    if max_files_per_trigger:
-        reader = (spark.readStream.schema(reader.schema).format(fmt)
-                  .option("maxFilesPerTrigger", max_files_per_trigger).load(source))
+    options = {"maxFilesPerTrigger": max_files_per_trigger} if max_files_per_trigger else {}
+    messages = (read_raw if raw else read_messages)(spark, source, fmt=fmt, stream=True, **options)
     checkpoint = checkpoint or f"{store.root}/checkpoints/{stream}"
     store.claim_stream(stream, checkpoint)
-    q = (reader.writeStream
-         .foreachBatch(micro_batch(store, stream, keywords, counters))
+    q = (messages.writeStream
+         .foreachBatch(micro_batch(store, stream, keywords, counters, raw))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
