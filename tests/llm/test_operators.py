@@ -166,6 +166,9 @@ def test_decontaminate(spark, docs, rows, none):
             decontaminate.contaminated().alias("bad")).collect()
         assert {r.doc_id: (r.decon_n_words, r.h, len(r.decon_items), r.sha, r.bad) for r in got} == want
         assert len(got) == len(rows)
+    pieces = decontaminate.item_pieces(spark.createDataFrame([("x", "A-b " * 20), ("y", "c" * 99), ("z", "--- " * 9)], "i string, t string"), 13, 15)
+    got = sorted((r.i, len(r.t.split())) for r in pieces.collect())
+    assert got == [("x", n) for n in sorted([15] * 9 + [13])] + [("y", 1), ("z", 0)]  # 28 windows: three a piece, one in the last
     assert decontaminate.find_passages(none, bench).count() == 0
     clean = decontaminate.find_passages(docs, bench.where("false")).agg(F.max(F.size("decon_items"))).first()[0]
     assert clean == 0

@@ -13,9 +13,11 @@ the last word of the current m-word span:
 * the words are compared directly, first as hashes, then as bytes.
 
 All texts of a batch are walked at once (one numpy lane for each piece of
-``LANE`` words). Patterns are broadcast in blocks of at most
-``BLOCK_WORDS`` item words; more blocks mean more passes over the documents,
-each merging its occurrences into the row, without a shuffle.
+``LANE`` words). Patterns are broadcast in blocks of about ``BLOCK_WORDS`` item
+words; more blocks mean more passes over the documents, each merging its
+occurrences into the row, without a shuffle. A long item is cut into pieces
+that overlap by a window less one word, so that no item outgrows a block: the
+pieces have the item's windows, each once.
 
 Defined results: null and empty texts, or texts without a word, have no
 words, no hits and are clean; null or wordless items match nothing; a null
@@ -44,6 +46,9 @@ TABLE_BITS = 18
 #: item words whose patterns are broadcast together (about 40 MB of tables)
 BLOCK_WORDS = 200_000
 PASSES_IN_A_JOB = 3
+#: a block has room for this many of the largest pieces
+PIECES_IN_A_BLOCK = 8
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 OUT = ("decon_n_words", "decon_spans", "decon_items")
 
@@ -166,6 +171,21 @@ def _as_arrow(batch, names, n_words, spans, items):
     return pa.RecordBatch.from_arrays(cols, [*names, *OUT])
 
 
+def item_pieces(items: DataFrame, window: int, most: int) -> DataFrame:
+    """(i, t) of items, those of more than ``most`` characters cut into
+    pieces of at most ``most`` words (no fewer than a window)."""
+    most = max(most, window)
+    lower = F.translate("t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    ws = F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))
+    step = most - window + 1
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_ws") - window, F.lit(0)), F.lit(step))
+    pieces = F.transform(starts, lambda s: F.array_join(F.slice("_ws", s + 1, most), " "))
+    is_long = F.length("t") > most
+    short = items.where(~is_long)
+    cut = items.where(is_long).select("i", ws.alias("_ws")).select("i", F.explode(pieces).alias("t"))
+    return short.select("i", "t").unionByName(cut)
+
+
 def find_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -175,6 +195,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     bound_batches(spark)
     bench = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"),
                              F.col(item_text).alias("t")).where("t is not null")
+    bench = item_pieces(bench, window, block_words // PIECES_IN_A_BLOCK)
     total = bench.agg(F.sum(F.length("t") / 2 + 1)).first()[0] or 0  # no fewer than its words
     blocks = max(1, int(-(-total // block_words)))
     kept = [c for c in docs.columns if c not in OUT]
