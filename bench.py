@@ -86,7 +86,8 @@ def main() -> None:
             "html_to_text_MB_per_s": round(html_bytes / 1e6 / times["html_to_text"], 2) if "html_to_text" in times else None,
         }.items() if v is not None and not __import__("math").isnan(v)},
         "config": {"master": f"local[{cpus}]", "runs": runs, "spark": spark.version,
-                   "shuffle_partitions": 2 * cpus},
+                   "shuffle_partitions": 2 * cpus,
+                   "driver_memory": spark.conf.get("spark.driver.memory")},
     }
     print(json.dumps(out))
     spark.stop()
