@@ -1,7 +1,8 @@
 """Exact Jaccard similarity join of shingle sets in metric space.
 
 The Jaccard distance d = 1 - |x & y| / |x | y| is a metric, and a link is
-d <= r (r = 0.1). The join narrows regions of the space, level by level:
+d <= r. A ``Rule`` has the words of a shingle and r: ``RULE`` (3 words, r = 0.1)
+is op5's, others are given by the caller. The join narrows regions of the space, level by level:
 
 1. *Copies.* Documents with equal sets are one point (an aggregate by set
    hash, combined map-side). All further work is on points.
@@ -12,10 +13,17 @@ d <= r (r = 0.1). The join narrows regions of the space, level by level:
    other and of any pivot, so windows around pivots alone would replicate
    every point to every region. A shell therefore splits the universe of
    shingles into m parts. Linked points of the shell differ in at most
-   D = floor(largest size / 9) shingles and m > D, so in some part the
+   D = floor(largest size * r / (1 - r)) shingles (a ninth of it at r = 0.1, a
+   quarter at r = 0.2) and m > D, so in some part the
    distance of their projections is 0: a region for each (shell, part,
    projection) holds every link, with windows of width 0. (If a point has D
-   non-empty projections or fewer, its empty ones count as well.) Points
+   non-empty projections or fewer, its empty ones count as well; m leaves
+   room for that to be rare.) At a link below ``PARTS_LINK`` the parts would
+   have two or three shingles, and a passage that many documents share would
+   tie them all. The regions are those of single shingles there: of sets x, y
+   that are linked, the first |x| - ceil(t |x|) + 1 and |y| - ceil(t |y|) + 1
+   shingles (t = 1 - r) in any fixed order have one in common; the order puts
+   shingles that are frequent in a bounded sample last. Points
    that share a region are tied to its least point; the connected
    components of these ties are the *regions* of the next level. No link
    crosses a region.
@@ -35,7 +43,8 @@ a group: a link inside a ball needs no pair, one between balls is found by
 step 4.
 
 Words are runs of non-space characters after A-Z are lower-cased; a set is the
-distinct 3-word shingles (64-bit hashes), of fewer words the whole sequence.
+distinct shingles of the rule's length (64-bit hashes), of fewer words the whole
+sequence.
 
 Defined results: null, empty and wordless texts have an empty set (size 0) and
 are linked with nothing; a document without links is its own component;
@@ -47,6 +56,8 @@ least id of a group with ids; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,25 +68,62 @@ from triage.llm import words as W
 from triage.llm.common import bound_batches, unit_hash, written
 from triage.llm.graph import components
 
-SHINGLE = 3
-#: a link: SCALE * intersection >= LINK * union
-LINK, SCALE = 90, 100
+#: a link: SCALE * intersection >= Rule.link * union
+SCALE = 100
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Which documents are linked: those whose sets of ``shingle``-word
+    shingles have a Jaccard similarity of ``link`` hundredths or more."""
+
+    shingle: int
+    link: int
+
+    def __post_init__(self):
+        if self.shingle < 1 or not SCALE < 2 * self.link < 2 * SCALE:
+            raise ValueError(f"no rule of the join: {self}")
+
+    @property
+    def smallest(self) -> int:
+        """Sets below this size are linked with equal ones only."""
+        return self.link // (SCALE - self.link)
+
+
+RULE = Rule(shingle=3, link=90)
 #: shingles of a region that one task joins
 REGION_SHINGLES = 1_000_000
+#: so many keys of more than one point are broadcast; more are joined by a shuffle
+BROADCAST_KEYS = 1 << 19
+#: links below have regions by first shingles; documents of the sample for their order, frequent shingles kept of it
+PARTS_LINK, ORDER_DOCS, ORDER_SHINGLES = 90, 10_000, 1 << 18
 #: regions and pivots of a wave, and the cells of its tables (shingles times pivots, a byte each)
 WAVE_REGIONS, WAVE_PIVOTS, WAVE_CELLS = 16, 256, 64_000_000
-SMALLEST = LINK // (SCALE - LINK)  # sets below this size are linked with equal ones only
 
 
-def shells(largest: int) -> np.ndarray:
+def shells(largest: int, rule: Rule = RULE) -> np.ndarray:
     """Least sizes of the shells up to a size."""
-    out = [SMALLEST]
+    out = [rule.smallest]
     while out[-1] <= largest:
         out.append(max(out[-1] + 1, out[-1] * 3 // 2))
     return np.array(out)
 
 
-def shingle_sets(col: pa.Array, n: int = SHINGLE) -> list[np.ndarray]:
+@lru_cache(maxsize=None)
+def parts_of(least: int, most: int) -> int:
+    """The parts of a shell whose sets have ``least`` shingles or more and whose
+    linked points differ in ``most``: so many that also the least sets have
+    more non-empty projections than that, by two standard deviations."""
+    m = most + 2 + most // 16
+    while m < 4 * (most + 2):
+        empty = np.exp(-least / m)
+        if m * (1 - empty) >= most + 1 + 2 * np.sqrt(m * empty * (1 - empty * (1 + least / m))):
+            break
+        m += 1
+    return m
+
+
+def shingle_sets(col: pa.Array, n: int = RULE.shingle) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     raw, off = W.texts(col)
     data = W.LOWER[raw]
@@ -97,18 +145,18 @@ def set_hash(x: np.ndarray) -> tuple[int, int]:
         return tuple(int(np.sum(W.mix(x ^ W.U64(s)), dtype=np.uint64).view(np.int64)) for s in (0x1234567, 0xABCDEF987))
 
 
-def projections(x: np.ndarray, least: np.ndarray) -> np.ndarray:
+def projections(x: np.ndarray, least: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """Hashes of a point's regions: its projections in its own shell and,
     within r of it, the shell below."""
     n = len(x)
-    if n < SMALLEST:
+    if n < rule.smallest:
         return np.zeros(0, np.int64)
     own = int(np.searchsorted(least, n, "right")) - 1
-    low = int(np.searchsorted(least, -(-n * LINK // SCALE), "right")) - 1
+    low = int(np.searchsorted(least, -(-n * rule.link // SCALE), "right")) - 1
     out = []
     for shell in range(max(low, 0), own + 1):
-        most = (int(least[shell + 1]) - 1) // SMALLEST  # D
-        m = most + 2 + most // 16
+        most = (int(least[shell + 1]) - 1) // rule.smallest  # D
+        m = parts_of(int(least[shell]), most)
         tag = W.mix(np.array([shell + 1], np.uint64))[0]
         spread = W.mix(x ^ tag)
         part = (spread % W.U64(m)).astype(np.int64)
@@ -124,13 +172,46 @@ def projections(x: np.ndarray, least: np.ndarray) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def linked(inter: np.ndarray, a, b) -> np.ndarray:
-    return SCALE * inter >= LINK * (a + b - inter)
+def frequent(docs: DataFrame, text_col: str, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (sorted) that occur in several documents of a sample, and in
+    how many."""
+    share = min(1.0, ORDER_DOCS / max(docs.count(), 1))
+    sample = docs.select(F.col(text_col).alias("_text")).where(unit_hash("_text", 5) < share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in W.pieces(whole, "_text"):
+                sets = shingle_sets(W.column(b, "_text"), rule.shingle)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], ["x"])
+
+    rows = (sample.mapInArrow(run, "x bigint").groupBy("x").agg(F.count("*").alias("k")).where("k > 1")
+            .orderBy(F.desc("k"), "x").limit(ORDER_SHINGLES).collect())
+    x, k = np.array([r.x for r in rows], np.int64).view(np.uint64), np.array([r.k for r in rows], np.int64)
+    order = np.argsort(x)
+    return x[order], k[order]
+
+
+def first_shingles(x: np.ndarray, often: tuple[np.ndarray, np.ndarray], rule: Rule) -> np.ndarray:
+    """A point's regions by single shingles: the first ones in the order by
+    frequency in the sample, then hash."""
+    n = len(x)
+    if n < rule.smallest:
+        return np.zeros(0, np.int64)
+    known, k = often
+    count = np.zeros(n, np.int64)
+    if len(known):
+        i = np.minimum(np.searchsorted(known, x), len(known) - 1)
+        count = np.where(known[i] == x, k[i], 0)
+    return x[np.lexsort((W.mix(x), count))[:n + (-n * rule.link // SCALE) + 1]].view(np.int64)
+
+
+def linked(inter: np.ndarray, a, b, rule: Rule = RULE) -> np.ndarray:
+    return SCALE * inter >= rule.link * (a + b - inter)
 
 
-def near(inter: np.ndarray, a, b) -> np.ndarray:
+def near(inter: np.ndarray, a, b, rule: Rule = RULE) -> np.ndarray:
     """Within 2r."""
-    return SCALE * inter >= (2 * LINK - SCALE) * (a + b - inter)
+    return SCALE * inter >= (2 * rule.link - SCALE) * (a + b - inter)
 
 
 class Union:
@@ -148,7 +229,7 @@ class Union:
         self.up[max(a, b)] = min(a, b)
 
 
-def join_region(sets: list[np.ndarray]) -> list[int]:
+def join_region(sets: list[np.ndarray], rule: Rule = RULE) -> list[int]:
     """Step 4 in one task: the component (least index) of each set."""
     n = len(sets)
     sizes = np.array([len(x) for x in sets], np.int64)
@@ -164,11 +245,11 @@ def join_region(sets: list[np.ndarray]) -> list[int]:
         here[mine] = 1
         inter = np.add.reduceat(here[ids], first)
         here[mine] = 0
-        ball = linked(inter, sizes[p], sizes)
+        ball = linked(inter, sizes[p], sizes, rule)
         owned[ball] = True
         for x in np.flatnonzero(ball).tolist():
             groups.join(p, x)
-        bounds.append((p, np.flatnonzero(near(inter, sizes[p], sizes) & ~ball)))
+        bounds.append((p, np.flatnonzero(near(inter, sizes[p], sizes, rule) & ~ball)))
 
     for p in range(n):
         if not owned[p]:
@@ -183,19 +264,20 @@ def join_region(sets: list[np.ndarray]) -> list[int]:
     return [groups.find(x) for x in range(n)]
 
 
-def points(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def points(docs: DataFrame, id_col: str, text_col: str, rule: Rule = RULE) -> DataFrame:
     """(id, n, h1, h2, regions) of each document."""
     kind = docs.schema[id_col].dataType.simpleString()
+    often = None if rule.link >= PARTS_LINK else docs.sparkSession.sparkContext.broadcast(frequent(docs, text_col, rule))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = shells(1 << 10)
+        least = shells(1 << 10, rule)
         for whole in batches:
             for b in W.pieces(whole, "_text"):
-                sets = shingle_sets(W.column(b, "_text"))
+                sets = shingle_sets(W.column(b, "_text"), rule.shingle)
                 if (most := max(map(len, sets), default=0)) >= least[-1]:
-                    least = shells(2 * most)
+                    least = shells(2 * most, rule)
                 hashes = [set_hash(x) for x in sets]
-                keys = [projections(x, least) for x in sets]
+                keys = [first_shingles(x, often.value, rule) if often else projections(x, least, rule) for x in sets]
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([h[0] for h in hashes], pa.int64()),
@@ -207,7 +289,7 @@ def points(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .mapInArrow(run, f"id {kind}, n bigint, h1 bigint, h2 bigint, regions array<bigint>"))
 
 
-def join_small(rows: DataFrame) -> DataFrame:
+def join_small(rows: DataFrame, rule: Rule = RULE) -> DataFrame:
     """(point, component) of regions that fit a task; ``rows`` is (region,
     point, text)."""
     kind = rows.schema["point"].dataType.simpleString()
@@ -217,13 +299,13 @@ def join_small(rows: DataFrame) -> DataFrame:
         now, ids, sets = None, [], []
 
         def flush():
-            group = join_region(sets)
+            group = join_region(sets, rule)
             return pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field("point").type),
                                                pa.array([ids[g] for g in group], batch.schema.field("point").type)], ["point", "component"])
 
         for whole in batches:
             for batch in W.pieces(whole, "text"):
-                new = shingle_sets(W.column(batch, "text"))
+                new = shingle_sets(W.column(batch, "text"), rule.shingle)
                 for region, point, x in zip(W.column(batch, "region").to_pylist(), W.column(batch, "point").to_pylist(), new):
                     if ids and region != now:
                         yield flush()
@@ -240,9 +322,10 @@ def join_small(rows: DataFrame) -> DataFrame:
 class Wave:
     """The pivots of a wave, by region: their shingles, and which have each."""
 
-    def __init__(self, pivots: list[tuple[object, object, str]]):
+    def __init__(self, pivots: list[tuple[object, object, str]], rule: Rule = RULE):
         self.by_region: dict[object, tuple] = {}
-        sets = shingle_sets(pa.array([t for _, _, t in pivots], pa.string()))
+        self.rule = rule
+        sets = shingle_sets(pa.array([t for _, _, t in pivots], pa.string()), rule.shingle)
         for region in {r for r, _, _ in pivots}:
             mine = [(p, s) for (r, p, _), s in zip(pivots, sets) if r == region]
             values, inverse = np.unique(np.concatenate([s for _, s in mine]), return_inverse=True)
@@ -255,12 +338,12 @@ class Wave:
         pivots, sizes, values, has = self.by_region[region]
         i = np.minimum(np.searchsorted(values, x), len(values) - 1)
         inter = has[i[values[i] == x]].sum(axis=0, dtype=np.int64)
-        link = linked(inter, len(x), sizes)
-        edge = near(inter, len(x), sizes) & ~link
+        link = linked(inter, len(x), sizes, self.rule)
+        edge = near(inter, len(x), sizes, self.rule) & ~link
         return [pivots[k] for k in np.flatnonzero(link)], [pivots[k] for k in np.flatnonzero(edge)]
 
 
-def join_large(rows: DataFrame) -> DataFrame:
+def join_large(rows: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Ties (a, b) that connect the components of regions beyond one task's
     size; ``rows`` is (region, point, n, text)."""
     spark = rows.sparkSession
@@ -286,13 +369,13 @@ def join_large(rows: DataFrame) -> DataFrame:
                     break  # the rest wait for the next wave
                 pivots.append((r.region, r.point, r.text))
                 cells += r.n
-            shared = spark.sparkContext.broadcast(Wave(pivots))
+            shared = spark.sparkContext.broadcast(Wave(pivots, rule))
             regions = sorted({r for r, _, _ in pivots})
 
             def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
                 for whole in batches:
                     for b in W.pieces(whole, "text"):
-                        sets = shingle_sets(W.column(b, "text"))
+                        sets = shingle_sets(W.column(b, "text"), rule.shingle)
                         got = [shared.value.against(r, x) for r, x in zip(W.column(b, "region").to_pylist(), sets)]
                         t = b.schema.field("point").type
                         yield pa.RecordBatch.from_arrays(
@@ -327,17 +410,20 @@ def join_large(rows: DataFrame) -> DataFrame:
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    region_shingles: int = REGION_SHINGLES) -> DataFrame:
-    """(id, n_shingles, component_id) of each document."""
+                    region_shingles: int = REGION_SHINGLES, rule: Rule = RULE) -> DataFrame:
+    """(id, n_shingles, component_id) of each document, linked by ``rule``."""
     bound_batches(docs.sparkSession)
-    table = written(points(docs, id_col, text_col), "points")
+    table = written(points(docs, id_col, text_col, rule), "points")
     same = ["h1", "h2", "n"]
     point = written(table.where("n > 0").groupBy(*same).agg(F.min("id").alias("point")).where("point is not null"), "copies")
     # regions of level 3, each tied to its least point
     keys = (table.where("size(regions) > 0").join(point.select("point"), F.col("id") == F.col("point"))
-            .select("point", F.explode("regions").alias("key")).distinct())
+            .select("point", F.explode("regions").alias("key")))
     keys = written(keys, "keys")
-    shared = keys.groupBy("key").agg(F.min("point").alias("least"), F.count("*").alias("k")).where("k > 1").select("key", "least")
+    shared = keys.groupBy("key").agg(F.min("point").alias("least"), F.max("point").alias("most")).where("least != most").select("key", "least")
+    shared = written(shared, "shared-keys")
+    if shared.count() <= BROADCAST_KEYS:
+        shared = F.broadcast(shared)
     ties = keys.join(shared, "key").where("point != least").select(F.col("point").alias("a"), F.col("least").alias("b")).distinct()
     region = written(components(ties).select(F.col("node").alias("point"), F.col("component").alias("region")), "regions")
     size = (region.join(point, "point").select("region", "point", "n"))
@@ -346,11 +432,11 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = docs.select(F.col(id_col).alias("point"), F.col(text_col).alias("text")).where("point is not null")
     # an id that repeats with different texts: each text is a point only as its set's least id
     rows = size.join(text, "point")
-    small = join_small(rows.where(F.col("total") <= region_shingles).select("region", "point", "text"))
+    small = join_small(rows.where(F.col("total") <= region_shingles).select("region", "point", "text"), rule)
     found = written(small, "small-regions")
     big = size.where(F.col("total") > region_shingles)
     if not big.isEmpty():
-        ties = join_large(rows.where(F.col("total") > region_shingles).select("region", "point", "n", "text"))
+        ties = join_large(rows.where(F.col("total") > region_shingles).select("region", "point", "n", "text"), rule)
         found = found.union(components(ties).select(F.col("node").alias("point"), "component"))
     found = found.groupBy("point").agg(F.min("component").alias("component")).where("point != component")
     owner = point.join(found, "point", "left").select(
