@@ -90,6 +90,16 @@ def test_projections_share_a_region_when_linked(link):
     assert found > 50
 
 
+def test_an_id_with_different_texts_loses_none(spark):
+    a, b, c, d = (" ".join(f"{s}{i}" for i in range(50)) for s in "abcd")
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, d), (3, d), (3, d + " "), (None, c), (None, c), (4, None), (5, ""), (6, b)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, (r.text or "").strip()) for r in got.collect()) == sorted(
+        [(1, a), (2, b), (3, c), (3, d), (0, c), (0, c), (4, ""), (5, "")])
+
+
 @pytest.mark.parametrize("link", [80, 67])
 def test_first_shingles_meet_when_linked(link):
     rule, rng = jaccard_join.Rule(5, link), np.random.default_rng(4)

@@ -289,6 +289,21 @@ def points(docs: DataFrame, id_col: str, text_col: str, rule: Rule = RULE) -> Da
             .mapInArrow(run, f"id {kind}, n bigint, h1 bigint, h2 bigint, regions array<bigint>"))
 
 
+def with_set(docs: DataFrame, text_col: str, name: str, rule: Rule = RULE) -> DataFrame:
+    """``docs`` with the column ``name``: the size and hash of the shingle set."""
+    bound_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in W.pieces(whole, text_col):
+                sets = shingle_sets(W.column(b, text_col), rule.shingle)
+                keys = [f"{len(x)}:{'%016x%016x' % tuple(h % (1 << 64) for h in set_hash(x))}" for x in sets]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.string())], [*b.schema.names, name])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{name}` string"])
+    return docs.mapInArrow(run, schema)
+
+
 def join_small(rows: DataFrame, rule: Rule = RULE) -> DataFrame:
     """(point, component) of regions that fit a task; ``rows`` is (region,
     point, text)."""
