@@ -195,7 +195,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     bound_batches(spark)
     bench = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"),
                              F.col(item_text).alias("t")).where("t is not null")
-    bench = item_pieces(bench, window, block_words // PIECES_IN_A_BLOCK)
+    # copies of a row have one hash, and would meet in one block
+    bench = written(item_pieces(bench, window, block_words // PIECES_IN_A_BLOCK).distinct(), "benchmark")
     total = bench.agg(F.sum(F.length("t") / 2 + 1)).first()[0] or 0  # no fewer than its words
     blocks = max(1, int(-(-total // block_words)))
     kept = [c for c in docs.columns if c not in OUT]
