@@ -7,18 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from triage.llm import decontaminate, jaccard_join, langid, mixing, pii, quality_fm, rule_forest, token_orc, toxicity, warc_zstd
-from triage.llm.common import fold, scratch_path
+from triage.llm import (conversation_trie, decontaminate, jaccard_join, langid, mixing, packing, pii, planes, quality_fm, rule_forest, token_orc,
+                        toxicity, warc_zstd)
+from triage.llm.common import fold, scratch_path, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,9 +89,55 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    digest = token_orc.with_crc32(pieces.withColumnRenamed("id", "doc_id"))
+    # written, so that a second reading finds the same sequences
+    return written(digest.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "score"), "packing-pieces")
+
+
+def op12_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planes.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = conversation_trie.trie(conversation_trie.rebuilt(table(spark, sf_dir, "conversations")))
+    return found.drop("enter_at", "exit_at")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_fm, op2_langid, op3_pii, op4_token_orc, op5_jaccard_join, op6_toxicity, op7_rule_forest,
-    op8_decontaminate, op9_warc_zstd, op10_mixing)} | {"pipeline": corpus_pipeline.run}
+    op8_decontaminate, op9_warc_zstd, op10_mixing, op11_packing, op12_bit_planes, op13_conversation_trie)} | {"pipeline": corpus_pipeline.run}
+
+def _clusters_sql(k: int = 8, rounds: int = 10) -> str:
+    """Lloyd's rounds, unrolled; divisions are floored (DuckDB's // truncates)."""
+    floor_div = "((s - ((s % n) + n) % n) // n)"
+    parts = ["""
+WITH kept AS (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) AS r, v
+  FROM (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN isfinite(x::DOUBLE) THEN floor(1024 * x::DOUBLE)::BIGINT END) AS v
+        FROM embeddings WHERE len(embedding) = 64)
+  WHERE len(list_filter(v, lambda x: x IS NOT NULL)) = 64),
+x AS MATERIALIZED (SELECT vec_id, r, unnest(v) AS x, unnest(range(64)) AS j FROM kept),
+c0 AS MATERIALIZED (SELECT r - 1 AS c, j, x AS y FROM x WHERE r <= %d)""" % k]
+    for i in range(rounds + 1):
+        parts.append(f"""
+d{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT r, c, sum((x - y) * (x - y))::BIGINT AS d FROM x JOIN c{i} USING (j) GROUP BY r, c) GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.c, c{i}.j, coalesce(z, y) AS y
+  FROM c{i} LEFT JOIN (SELECT c, j, {floor_div}::BIGINT AS z
+                       FROM (SELECT c, j, sum(x)::BIGINT AS s, count(*) AS n FROM x JOIN d{i} USING (r) GROUP BY c, j)) m
+  ON m.c = c{i}.c AND m.j = c{i}.j)""")
+    return ",".join(parts) + f"""
+SELECT kept.vec_id, d.c::INTEGER AS cluster, d.d AS distance, (sum(d.d) OVER (PARTITION BY d.c))::BIGINT AS cluster_inertia,
+       (sum(d.d) OVER ())::BIGINT AS inertia, h.centroid_sha256
+FROM kept JOIN d{rounds} d USING (r)
+JOIN (SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY c) h ON h.c = d.c"""
+
 
 #: DuckDB SQL for the operators that have one; the others are tested against brute force
 ORACLE_SQL = {
@@ -161,6 +208,46 @@ r AS (
   FROM e),
 g AS (SELECT rid, sum(got)::BIGINT AS taken FROM r GROUP BY rid)
 SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM q LEFT JOIN g ON q.rid = g.rid
+""",
+    "op12_bit_planes": _clusters_sql(),
+    "op13_conversation_trie": r"""
+WITH t AS (
+  SELECT conv_id, digest, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS i
+  FROM (SELECT conv_id, turn, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+        FROM conversations WHERE conv_id IS NOT NULL)),
+-- the 256 entries of crc32's table, one row
+crc AS (
+  SELECT list(v ORDER BY i) AS tab
+  FROM (SELECT i, list_reduce(list_concat([i], list_transform(range(8), lambda x: 0::BIGINT)),
+                              lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END) AS v FROM range(256) g(i))),
+l AS (SELECT conv_id AS c, list({'g': digest, 'w': words} ORDER BY i) AS own FROM t GROUP BY conv_id),
+h AS (
+  SELECT l.c, own, coalesce(b.base, []) AS base,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(l.c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                         lambda a, x: xor(a >> 8, tab[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) % 4 AS h
+  FROM l CROSS JOIN crc LEFT JOIN (SELECT c, own AS base FROM l) b ON b.c = l.c - l.c % 20),
+r AS MATERIALIZED (SELECT c, base[:h] || own[h + 1:] AS ts FROM h),
+p AS MATERIALIZED (
+  SELECT c, unnest(range(0, len(ts) + 1)) AS d, ts FROM r),
+k AS MATERIALIZED (
+  SELECT c, d, md5(array_to_string(list_transform(ts[:d], lambda x: x.g), ',')) AS key,
+         CASE WHEN d > 0 THEN md5(array_to_string(list_transform(ts[:d - 1], lambda x: x.g), ',')) END AS up,
+         CASE WHEN d > 0 THEN ts[d].w ELSE 0 END AS w, d = len(ts) AS ends
+  FROM p),
+n AS MATERIALIZED (
+  SELECT d, key, min(c) AS c, any_value(up) AS up, count(*) AS n, any_value(w) AS w,
+         coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '') AS ends FROM k GROUP BY d, key),
+m AS MATERIALIZED (
+  SELECT n.*, coalesce(f.children, 0) AS children
+  FROM n LEFT JOIN (SELECT d - 1 AS d, up AS key, count(*) AS children FROM n WHERE d > 0 GROUP BY 1, 2) f USING (d, key)),
+-- a node adds to each prefix of its smallest member's turns up to its depth
+s AS (
+  SELECT a.d, a.key, count(*) FILTER (WHERE m.children = 0) AS leaves, sum((m.n - 1) * m.w) AS saved
+  FROM m JOIN k a ON a.c = m.c AND a.d <= m.d GROUP BY a.d, a.key)
+SELECT m.c AS conv_id, m.d AS depth, u.c AS parent_conv_id, m.n AS n_convs, m.children AS n_children, s.leaves AS n_leaves,
+       s.saved::BIGINT AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN s USING (d, key) LEFT JOIN n u ON u.d = m.d - 1 AND u.key = m.up
 """,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
