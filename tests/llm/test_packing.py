@@ -1,0 +1,164 @@
+"""Packing: exact round trip, windows and padding, neighbours against a plain
+BM25, and the byte-level encoder against the library."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from triage.llm import packing
+from triage.llm.byte_bpe import ByteEncoder, cuts
+from triage.llm.queries import op11_packing, tokenizer_path
+
+PATH = tokenizer_path("byte_bpe_50k.json")
+DOCS = "doc_id long, text string, id string, offset string, ids string, score double"
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+def prose(rng, n, stem="abcdefgh"):
+    return " ".join("".join(rng.choice(stem) for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(9)
+    base = [prose(rng, rng.choice([1, 5, 30, 80, 300])) for _ in range(60)]
+    return [None, "", " \n\t ", "x" * 30_000, prose(rng, 5_000), "a  b   c 's don't <|endoftext|>", "é ö 漢字", *base, *base[:9], *["the same words again"] * 40]
+
+
+def test_encoder_equals_the_library(library):
+    rng = random.Random(3)
+    parts = ["a", "b", "'s", "'", " ", "  ", "\n", "\t", " ", " ", "é", "1", "٣", "漢", ".", "!", "<|endoftext|>", "Z", "\x1c", "\x85", "́", "I'll"]
+    texts = [None, "", *("".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(4000))]
+    e = ByteEncoder(PATH)
+    for col in (pa.array(texts), pa.array(texts).slice(7, 500), pa.array(texts, pa.large_string())):
+        ids, n = e.encode(col)
+        ends = np.concatenate([[0], np.cumsum(n)])
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [library(t) for t in col.to_pylist()]
+
+
+def test_cuts_begin_every_text():
+    data = np.frombuffer(b"ab c  d", np.uint8)
+    assert cuts(data, np.array([0, 3, 3, 7])).tolist() == [0, 2, 3, 4, 5]
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        ByteEncoder(tokenizer_path("word_bpe_49k.json"))
+
+
+def pieces_of(spark, texts, **options):
+    rows = [(i, t, "i", "o", "x", 0.5) for i, t in enumerate(texts)]
+    return [r.asDict() for r in packing.pack(spark.createDataFrame(rows, DOCS).repartition(3), PATH, **options).collect()]
+
+
+def check(pieces, texts, library, window):
+    """Each id in exactly one piece; sequences gapless, full or a power of two."""
+    by_doc, by_seq = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p["id"]].append(p)
+        by_seq[p["sequence_id"]].append(p)
+    assert set(by_doc) == set(range(len(texts)))
+    for i, t in enumerate(texts):
+        mine, ids, want = sorted(by_doc[i], key=lambda p: p["start"]), [], [*library(t), 0]
+        for p in mine:
+            assert p["start"] == len(ids) and p["length"] == len(p["ids"]) > 0 and p["doc_tokens"] == len(want)
+            ids += p["ids"]
+        assert ids == want
+    sizes = []
+    for seq in by_seq.values():
+        at = 0
+        for p in sorted(seq, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at == window or (at < window and at & (at - 1) == 0)
+        sizes.append(at)
+    return sizes
+
+
+@pytest.mark.parametrize("window, shard", [(1024, 1024), (64, 7), (16, 1)])
+def test_round_trip(spark, texts, library, window, shard):
+    pieces = pieces_of(spark, texts, window=window, shard_docs=shard, task_tokens=3000)
+    sizes = check(pieces, texts, library, window)
+    tails = sum(len(library(t)) % window + 1 for t in texts)
+    tasks = max(1, -(-tails // 3000)) + 1
+    assert sum(s < window for s in sizes) <= tasks * window.bit_length()
+
+
+def test_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [r.asDict() for r in op11_packing(spark, sf).collect()]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert len({r["doc_id"] for r in rows}) == docs and sum(r["length"] for r in rows if r["start"] == 0) > 0
+    total = Counter()
+    for r in rows:
+        total[r["doc_id"]] += r["length"]
+    assert all(total[r["doc_id"]] == r["doc_tokens"] for r in rows)
+
+
+def test_neighbours_are_the_best_unused_ones():
+    """One shard against a plain BM25 and a plain greedy filling."""
+    rng = random.Random(1)
+    docs = [[rng.randrange(40) if rng.random() < 0.5 else rng.randrange(400) for _ in range(rng.randint(3, 30))] for _ in range(50)]
+    docs += docs[:6]
+    df = np.bincount([t for d in docs for t in set(d)], minlength=500)
+    idf = packing.inverse_frequency(df, len(docs))
+    mean = sum(map(len, docs)) / len(docs)
+    bags = [np.unique(d, return_counts=True) for d in docs]
+    index = packing.Postings([b[0] for b in bags], [b[1] for b in bags], np.array([len(d) for d in docs], float), idf, mean)
+
+    def plain(seed, d):
+        total = 0.0
+        for t in set(docs[seed]):
+            tf, w = docs[d].count(t), max(math.log((len(docs) - df[t] + 0.5) / (df[t] + 0.5)), 0)
+            total += w * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(docs[d]) / mean)) if tf else 0
+        return total
+
+    for s in range(0, len(docs), 7):
+        assert np.allclose(index.scores(s), [plain(s, d) for d in range(len(docs))])
+    left = np.array([len(d) for d in docs])
+    mine, seed = left.copy(), None
+    for members in packing.fill(index, left, 64):
+        if seed is None:
+            seed = next(i for i in range(len(docs)) if mine[i])
+        want, space = [], 64
+        order = [seed, *sorted((d for d in range(len(docs)) if mine[d] and d != seed), key=lambda d: (-index.scores(seed)[d], d))]
+        for d in order:
+            n = min(int(mine[d]), space)
+            mine[d] -= n
+            space -= n
+            want.append((d, n))
+            if not space:
+                break
+        assert [m[:2] for m in members] == want
+        seed = want[-1][0] if mine[want[-1][0]] else None
+    assert left.sum() < 64
+
+
+def test_copies_of_one_row_are_split_between_tasks(spark, library):
+    """A third of all rows, equal in id and text, don't fall to one task."""
+    texts = ["one and the same text " * 4] * 400 + [prose(random.Random(i), 20) for i in range(800)]
+    rows = [(7 if i < 400 else i, t, "i", "o", "x", 0.5) for i, t in enumerate(texts)]
+    got = packing.pack(spark.createDataFrame(rows, DOCS), PATH, window=64, shard_docs=32, task_tokens=2000).collect()
+    tasks = Counter(r.sequence_id >> packing.SEQ_BITS for r in got if r.id == 7)
+    assert len(tasks) > 2
+    assert sum(r.length for r in got if r.id == 7) == 400 * (len(library(texts[0])) + 1)
+
+
+def test_null_ids_and_no_rows(spark):
+    got = packing.pack(spark.createDataFrame([(None, "a b", "", "", "", 0.1), (None, None, "", "", "", 0.1)], DOCS), PATH).collect()
+    assert sorted((r.id, r.length) for r in got) == [(None, 1), (None, 3)] or sum(r.length for r in got) == 4
+    assert packing.pack(spark.createDataFrame([], DOCS), PATH).collect() == []
