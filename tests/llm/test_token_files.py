@@ -1,0 +1,88 @@
+"""Token files: starts with files cut inside a part, other tokenizers, one
+encoder for a process, and a lookup that skips files."""
+
+from __future__ import annotations
+
+import pytest
+
+from triage.llm import token_orc
+from triage.llm.common import scratch_path
+from triage.llm.queries import tokenizer_path
+
+TEXTS = [None, "", "One two  THREE", "é <|endoftext|> it's 42!", *(f"text number {i} " * (i % 5 + 1) for i in range(40))]
+
+
+def library(path, text):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    return [*t.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def written(spark, path, tokenizer, parts=3):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    token_orc.write_tokens(docs, path, tokenizer, parts=parts)
+    return sorted(token_orc.read_tokens(spark, path).collect())
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_any_tokenizer_file(spark, name):
+    path = tokenizer_path(name)
+    start = 0
+    for r, text in zip(written(spark, scratch_path(spark, "tok"), path), TEXTS, strict=True):
+        want = library(path, text)
+        assert (r.start, r.n_tokens, list(r.ids)) == (start, len(want), want)
+        start += len(want)
+
+
+def test_starts_with_several_files_of_a_part(spark):
+    path, tokenizer = scratch_path(spark, "tok"), tokenizer_path()
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 5)
+    try:
+        rows = written(spark, path, tokenizer)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    files = spark.read.orc(path).selectExpr("_metadata.file_name AS f").distinct().count()
+    assert files > 6
+    start = 0
+    for r in rows:
+        assert r.start == start
+        start += r.n_tokens
+
+
+def test_one_encoder_for_a_process():
+    assert token_orc.encoder_of(tokenizer_path()) is token_orc.encoder_of(tokenizer_path())
+
+
+def test_a_lookup_reads_no_rows_of_other_stripes(spark):
+    """By row index and Bloom filter: of ids that no file has, and that one has."""
+    path = scratch_path(spark, "tok")
+    docs = spark.range(20_000).selectExpr("id * 3 AS doc_id", "concat('w', id) AS text")
+    token_orc.write_tokens(docs, path, tokenizer_path(), parts=2)
+
+    def read(where):
+        df = spark.read.orc(path).where(where).select("doc_id")
+        rows = df.collect()
+        scan = [m for m in _metrics(df) if m[0].startswith("Scan orc")]
+        return [r.doc_id for r in rows], sum(v for _, v in scan)
+
+    found, rows = read("doc_id = 30000")
+    assert found == [30000] and 1 <= rows <= 4000
+    found, rows = read("doc_id = 30001")  # between two ids: the Bloom filter says no
+    assert found == [] and rows <= 200
+
+
+def _metrics(df):
+    plan = df._jdf.queryExecution().executedPlan()
+    out, todo = [], [plan]
+    while todo:
+        p = todo.pop()
+        if p.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(p.executedPlan())
+            continue
+        if p.metrics().contains("numOutputRows"):
+            out.append((p.nodeName(), p.metrics().apply("numOutputRows").value()))
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out

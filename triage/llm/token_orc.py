@@ -8,7 +8,7 @@ group) and a Bloom filter on doc_id, so that readers take stripes in parallel
 and a lookup by id skips files, stripes and row groups by their metadata.
 ``part_start`` is the running number of ids in the part, made while the rows
 stream by; ``read_tokens`` adds the totals of the parts before, a table with
-one row for each file.
+one row for each part.
 
 A text is encoded chunk by chunk between ASCII white space, which the
 tokenizer drops and never joins across. The ids of a chunk are kept under its
@@ -24,9 +24,11 @@ file set that reads as no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -48,6 +50,13 @@ SIMPLE = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
 #: the tokenizer's own split (fixed), for lower-case simple chunks
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9]+").findall
 
+#: the file's rules (fixed values) for which texts may be cut at ASCII white space and pieces be split by ``PIECE``
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 
 class Known:
     """Ids by 64-bit chunk hash: sorted keys, and their ids' place in one
@@ -69,13 +78,23 @@ class Known:
         self.ids = np.concatenate([self.ids, ids])
 
 
+def splits_at_space(made: dict) -> bool:
+    """Whether a tokenizer file drops white space, never joins across it, and
+    treats simple chunks as ``chunk`` does."""
+    return (made.get("normalizer"), made.get("pre_tokenizer")) == (NORMALIZER, PRE_TOKENIZER)
+
+
 class Encoder:
-    """Ids of texts by a tokenizers file."""
+    """Ids of texts by a tokenizers file: chunk by chunk if the file's rules
+    are those of ``splits_at_space``, else each text by the library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
+        with open(path) as f:
+            self.chunked = splits_at_space(json.load(f))
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pieces: dict[str, list[int]] = {}
@@ -98,6 +117,10 @@ class Encoder:
     def encode(self, col: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a column, ``end_id`` after each, and their
         number for each text."""
+        if not self.chunked:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast([t or "" for t in col.to_pylist()], add_special_tokens=False)]
+            n = np.array([len(x) + 1 for x in got], np.int64)
+            return np.fromiter(chain.from_iterable([*x, end_id] for x in got), np.int32, int(n.sum())), n
         data, off = W.texts(col)
         ws = W.runs(W.NOT_SPACE[data], off)
         keys, first, inverse = np.unique(W.hashes(data, ws.starts, ws.ends), return_index=True, return_inverse=True)
@@ -135,6 +158,13 @@ class Encoder:
         return out, text_n + 1
 
 
+@lru_cache(maxsize=4)
+def encoder_of(path: str) -> Encoder:
+    """The worker process's encoder of a file: what it keeps serves all the
+    process's tasks."""
+    return Encoder(path)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID, parts: int | None = None, stripe_bytes: int = STRIPE_BYTES) -> None:
     """Write the ids of ``docs`` to ORC files below ``path``. ``parts`` is the
@@ -149,10 +179,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         F.col("doc_id").asc_nulls_first(), "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = None, 0
+        encoder, start = encoder_of(tokenizer), 0
         for whole in batches:
             for batch in W.pieces(whole, "_text", PIECE_BYTES):
-                encoder = encoder or Encoder(tokenizer)
                 flat, n = encoder.encode(W.column(batch, "_text"), end_id)
                 ends = np.cumsum(n)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
@@ -168,12 +197,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) from the files below ``path``."""
-    rows = spark.read.orc(path).withColumn("_file", F.col("_metadata.file_name"))
-    parts = rows.groupBy("_file").agg(F.sum("n_tokens").alias("_n"))
-    # files are named by their part number, in order of the id ranges; one row for each file
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (rows.join(F.broadcast(starts), "_file")
+    # files are named by their part number, in order of the id ranges (a part may be cut into several files)
+    rows = spark.read.orc(path).withColumn("_part", F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("bigint"))
+    parts = rows.groupBy("_part").agg(F.sum("n_tokens").alias("_n"))  # one row for each part
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (rows.join(F.broadcast(starts), "_part")
             .select("doc_id", (F.col("_before") + F.col("part_start")).alias("start"), "n_tokens", "ids"))
 
 
