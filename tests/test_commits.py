@@ -1,0 +1,318 @@
+"""The commit log and what it publishes: writers at the same time, lookups of
+a few buckets and row groups, expiry, the retry queue, and the fallback log."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_notify import Recorder, calls
+from tests.test_store import _row, _silver, _status
+from triage.operators import deliver as dlv
+from triage.operators import search as sr
+from triage.sources.commits import CommitLog, Files, joined
+from triage.sources.store import KeyedStore, bucket_of
+
+T0 = dt.datetime(2026, 1, 1)
+
+
+def at(seconds):
+    return F.lit(T0 + dt.timedelta(seconds=seconds)).cast("timestamp_ntz")
+
+
+def files_below(path):
+    return sum(len(names) for _, _, names in os.walk(path))
+
+
+# -- the log -----------------------------------------------------------------------
+
+@pytest.mark.parametrize("local", [True, False])
+def test_a_file_is_published_once(spark, tmp_root, local):
+    f = Files(spark, tmp_root)
+    f.local = local  # the rename that never overwrites works on local files too
+    assert f.publish("a/b", "one") and not f.publish("a/b", "two")
+    assert f.read("a/b") == "one" and f.names("staged") == []
+
+
+def test_numbers_are_claimed_once(spark, tmp_root):
+    logs = [CommitLog(spark, tmp_root) for _ in range(4)]
+    got: list = []
+
+    def write(log):
+        for _ in range(5):
+            got.append(log.claim("gold", "s", None))
+
+    threads = [threading.Thread(target=write, args=(log,)) for log in logs]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(b for b, _ in got) == list(range(20)) and sorted(n for _, n in got) == list(range(1, 21))
+
+
+def test_intervals_of_numbers():
+    assert joined([[3, 4]], [1, 7, 5, 8, 2]) == [[1, 5], [7, 8]]
+    assert joined([], []) == []
+
+
+# -- writers -----------------------------------------------------------------------
+
+def test_two_writers_lose_nothing(spark, tmp_root):
+    """Interleaved at every step: both claim before either writes or commits."""
+    a, b = KeyedStore(spark, tmp_root, buckets=4), KeyedStore(spark, tmp_root, buckets=9)
+    ready = threading.Barrier(2)
+    errors: list = []
+
+    def run(store, key):
+        claim = store.log.claim
+
+        def together(*args):
+            ready.wait()
+            out = claim(*args)
+            ready.wait()
+            return out
+
+        store.log.claim = together
+        try:
+            store.upsert(_silver(spark, _row(key, "rejected"), _row("<both>", key)))
+        except Exception as e:  # shown below
+            errors.append(e)
+
+    threads = [threading.Thread(target=run, args=x) for x in ((a, "<a>"), (b, "<b>"))]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert errors == [] and a.buckets == b.buckets
+    table = a.log.table("gold")
+    assert sorted(k for k in table.rows) == [("batch", 0), ("batch", 1)]
+    last = max(table.rows.values(), key=lambda e: e["order"])
+    got = _status(KeyedStore(spark, tmp_root))
+    assert set(got) == {"<a>", "<b>", "<both>"}
+    winner = a.spark.read.parquet(f"{tmp_root}/{last['path']}").where("message_id = '<both>'").first().status
+    assert got["<both>"] == winner
+
+
+def test_a_writer_that_dies_before_its_commit_is_not_read(spark, tmp_root, monkeypatch):
+    s = KeyedStore(spark, tmp_root)
+    s.upsert(_silver(spark, _row("<a>", "applied")), stream="x", batch_id=0)
+    monkeypatch.setattr(s.log, "commit", lambda make: (_ for _ in ()).throw(OSError("killed")))
+    s.log.claim = lambda *a: (1, 99)
+    with pytest.raises(OSError):
+        s.upsert(_silver(spark, _row("<a>", "rejected")), stream="x", batch_id=1)
+    again = KeyedStore(spark, tmp_root)
+    assert _status(again) == {"<a>": "applied"}
+    assert again.upsert(_silver(spark, _row("<a>", "advanced")), stream="x", batch_id=1) == {"inserted": 0, "updated": 1}
+    assert _status(again) == {"<a>": "advanced"}
+
+
+def test_a_snapshot_is_not_disturbed(spark, tmp_root):
+    s = KeyedStore(spark, tmp_root)
+    s.upsert(_silver(spark, _row("<a>", "applied")))
+    before, old = s.snapshot(), s.gold()
+    s.upsert(_silver(spark, _row("<a>", "rejected")))
+    s.compact()
+    assert [r.status for r in old.collect()] == ["applied"]
+    assert [r.status for r in s.gold(at=before).collect()] == ["applied"]
+    assert _status(s) == {"<a>": "rejected"}
+
+
+# -- lookups -------------------------------------------------------------------------
+
+def scans(df):
+    """(files read, rows out) of the Parquet scans that ``df`` ran."""
+    out, todo = [0, 0], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        if p.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(p.executedPlan())
+            continue
+        if "QueryStage" in p.nodeName():
+            todo.append(p.plan())
+        if p.nodeName().startswith("Scan parquet"):
+            out[0] += p.metrics().apply("numFiles").value()
+            out[1] += p.metrics().apply("numOutputRows").value()
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return tuple(out)
+
+
+@pytest.fixture(scope="module")
+def large(spark, tmp_path_factory):
+    """A fold of 20,000 keys in 16 buckets and a batch of 5,000."""
+    s = KeyedStore(spark, str(tmp_path_factory.mktemp("large")), buckets=16)
+
+    def rows(a, b):
+        one = _silver(spark, _row("<x>", "applied")).drop("message_id")
+        return spark.range(a, b).selectExpr("concat('<', id, '>') AS message_id").crossJoin(one)
+
+    s.upsert(rows(0, 20_000))
+    s.compact()
+    s.upsert(rows(18_000, 23_000))
+    return s
+
+
+def test_a_batch_opens_only_its_buckets(spark, large):
+    keys = spark.createDataFrame([("<5>",), ("<19000>",), ("<none>",)], "message_id string")
+    buckets = sorted({r[0] for r in keys.select(bucket_of(F.col("message_id"), 16)).collect()})
+    table = large.log.table("gold")
+    found = large.lookup(keys, buckets, table)
+    assert sorted(r.message_id for r in found.collect()) == ["<19000>", "<5>"]
+    all_files = sum(len(fs) for p in table.paths() for d, _, names in os.walk(f"{large.root}/{p}") for fs in [[n for n in names if n.endswith(".parquet")]])
+    mine = sum(len([n for n in names if n.endswith(".parquet")]) for p in table.paths() for d, _, names in os.walk(f"{large.root}/{p}")
+               if any(d.endswith(f"/bucket={b}") for b in buckets))
+    held = large.gold_rows(table).where(F.col("bucket").isin(buckets)).select("message_id")
+    held.collect()
+    assert scans(held)[0] == mine < all_files / 4
+
+
+def test_row_groups_without_the_keys_are_skipped(spark, large):
+    """Keys that lie between others: only the Bloom filter can tell that they are not there."""
+    rows = large.gold_rows(large.log.table("gold"))
+    every, hits, false = rows.count(), 0, 0
+    for i in range(20):
+        key = f"<{i * 100 + 0.5}>"
+        b = spark.range(1).select(bucket_of(F.lit(key), 16)).first()[0]
+        found = rows.where((F.col("bucket") == b) & (F.col("message_id") == key)).select("message_id")
+        assert found.collect() == []
+        n = scans(found)[1]
+        false += n > 0
+    assert false <= 2, f"{false} of 20 absent keys read a row group of {every} rows"
+    found = rows.where(F.col("message_id") == "<7>").select("message_id")
+    assert [r[0] for r in found.collect()] == ["<7>"] and 0 < scans(found)[1] < every
+
+
+def test_no_body_in_an_aggregate(spark, large):
+    plan = large.gold()._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Aggregate" in line:
+            assert "body_clean" not in line
+
+
+def test_gold_of_fold_and_batches(spark, tmp_root):
+    s = KeyedStore(spark, tmp_root, buckets=3)
+    want = {}
+    for n in range(6):
+        rows = [_row(f"<{k}>", f"s{n}", uid=str(k)) for k in range(n * 3, n * 3 + 7)]
+        s.upsert(_silver(spark, *rows, rows[0]))
+        want |= {r[0]: r[9] for r in rows}
+        if n in (1, 3):
+            s.compact()
+    assert _status(s) == want and s.gold().count() == len(want)
+
+
+# -- expiry --------------------------------------------------------------------------
+
+def test_files_stay_bounded_after_many_batches(spark, tmp_root):
+    s = KeyedStore(spark, tmp_root, buckets=2)
+    counts = []
+    for n in range(24):
+        s.upsert(_silver(spark, _row(f"<{n % 5}>", f"s{n}")), stream="b", batch_id=n)
+        if n % 4 == 3:
+            s.notify(run_id=f"r{n}")
+            s.compact()
+            s.expire()
+            counts.append(files_below(tmp_root))
+    assert max(counts[2:]) <= counts[1] + 4, counts
+    assert len(s.log.numbers()) < 20 and s.log.table("gold").folded == {"b": [[0, 23]]}
+    assert _status(s) == {f"<{n % 5}>": f"s{n}" for n in range(19, 24)}
+    assert s.upsert(_silver(spark, _row("<0>", "late")), stream="b", batch_id=3) == {"inserted": 0, "updated": 1}
+    assert s.log.claim("gold", "b", None)[0] == 24  # ids of folded batches aren't given again
+
+
+def test_readers_of_a_retained_snapshot_are_safe(spark, tmp_root):
+    s = KeyedStore(spark, tmp_root, buckets=2)
+    s.upsert(_silver(spark, _row("<a>", "one")))
+    s.compact()
+    held = s.snapshot()
+    frame = s.gold(at=held)
+    s.upsert(_silver(spark, _row("<a>", "two")))
+    s.compact()
+    s.expire(retain=2)
+    assert [r.status for r in frame.collect()] == ["one"] and [r.status for r in s.gold(at=held).collect()] == ["one"]
+    s.expire(retain=1)
+    assert _status(s) == {"<a>": "two"}
+
+
+# -- alerts ----------------------------------------------------------------------------
+
+def test_a_row_that_failed_once_is_tried_again_when_due(spark, tmp_root):
+    s, path = KeyedStore(spark, tmp_root), f"{tmp_root}/calls.jsonl"
+    s.upsert(_silver(spark, _row("<a>", "rejected"), _row("<b>", "advanced")))
+    send = dict(transport=Recorder(path, "flaky"), sender="desk@triage.example", queue=True)
+    none = {"notified": 0, "failed": 0, "fallback": 0}
+    assert s.notify(**send, now=at(0)) == none and len(calls(path)) == 2
+    due = {r.message_id: r.due_at for r in s.ledger().collect()}
+    assert all(T0 <= d <= T0 + dt.timedelta(seconds=2) for d in due.values()) and len(set(due.values())) == 2
+    assert s.notify(**send, now=F.lit(min(due.values())).cast("timestamp_ntz")) == {"notified": 1, "failed": 0, "fallback": 0}
+    assert s.notify(**send, now=at(3)) == {"notified": 1, "failed": 0, "fallback": 0}
+    assert s.notify(**send, now=at(60)) == none and len(calls(path)) == 4
+    schedule = dlv.queue_schedule(s.ledger()).collect()
+    assert sorted((r.attempt, r.max_delay_sec) for r in schedule) == [(1, 2.0), (1, 2.0)]
+    assert all(0 <= r.delay_sec <= r.max_delay_sec for r in schedule)
+
+
+def test_attempts_end_and_begin_anew(spark, tmp_root):
+    s, path = KeyedStore(spark, tmp_root), f"{tmp_root}/calls.jsonl"
+    s.upsert(_silver(spark, _row("<a>", "rejected")))
+    send = dict(transport=Recorder(path, "data"), sender="desk@triage.example", queue=True)
+    got = [s.notify(**send, now=at(100 * k))["failed"] for k in range(4)]
+    assert got == [0, 0, 1, 0]
+    assert [r.attempts for r in s.ledger().orderBy("run").collect()] == [1, 2, 3, 1]
+
+
+def test_a_run_killed_between_lines_and_ledger_leaves_each_line_once(spark, tmp_root, monkeypatch):
+    s = KeyedStore(spark, tmp_root)
+    s.upsert(_silver(spark, _row("<a>", "rejected"), _row("<b>", "advanced")))
+    publish = s._publish
+    monkeypatch.setattr(s, "_publish", lambda *a, **k: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError):
+        s.notify(run_id="r1")
+    assert s.fallback_lines().count() == 0 and s.pending().count() == 2
+    monkeypatch.setattr(s, "_publish", publish)
+    assert s.notify(run_id="r1") == {"notified": 0, "failed": 0, "fallback": 2}
+    assert s.notify(run_id="r1") == {"notified": 0, "failed": 0, "fallback": 2}  # published: the same answer, nothing anew
+    assert s.notify(run_id="r2") == {"notified": 0, "failed": 0, "fallback": 0}
+    lines = [json.loads(r.value)["message_id"] for r in s.fallback_lines().collect()]
+    assert sorted(lines) == ["<a>", "<b>"]
+    s.expire()
+    assert sorted(json.loads(r.value)["message_id"] for r in s.fallback_lines().collect()) == ["<a>", "<b>"]
+    assert s.pending().count() == 0
+
+
+# -- UIDs ------------------------------------------------------------------------------
+
+def test_gaps_are_fetched_later(spark):
+    read = spark.createDataFrame([("m", u) for u in [1, 2, 3, 7, 4096, 4097, 8191, 8192, 9000]] + [("n", 5), (None, 2)], "mailbox string, uid long")
+    spans = sr.uid_intervals(read)
+    assert sorted(tuple(r) for r in spans.where("mailbox = 'm'").collect()) == [
+        ("m", 1, 3), ("m", 7, 7), ("m", 4096, 4097), ("m", 8191, 8192), ("m", 9000, 9000)]
+    new = spark.createDataFrame([("m", u) for u in range(1, 12)] + [("n", 4), ("n", 5), (None, 2), (None, 3), ("m", None)], "mailbox string, uid long")
+    got = sorted(((r.mailbox or "", r.uid or 0) for r in sr.unfetched(new, spans).collect()))
+    assert got == [("", 3), ("m", 0), *(("m", u) for u in (4, 5, 6, 8, 9, 10, 11)), ("n", 4)]
+
+
+def test_intervals_that_overlap_and_touch(spark):
+    rows = [("m", 1, 10_000), ("m", 5, 9), ("m", 10_001, 10_001), ("m", 20_000, 20_500), ("m", 20_400, 30_000)]
+    got = sr.merge_intervals(spark.createDataFrame(rows, sr.INTERVALS)).collect()
+    assert sorted(tuple(r) for r in got) == [("m", 1, 10_001), ("m", 20_000, 30_000)]
+
+
+def test_a_late_lower_uid_is_ingested(spark, tmp_root, make_bronze, sample_records):
+    from triage.plans.pipeline import run_batch
+
+    s = KeyedStore(spark, tmp_root)
+
+    def mail(*uids):
+        recs = [dict(sample_records[0], email_id=str(u), message_id=f"<{u}>") for u in uids]
+        return make_bronze(recs).withColumns({"mailbox": F.lit("m"), "uid": F.col("email_id").cast("long")})
+
+    assert run_batch(mail(5, 9), s)["gold"] == {"inserted": 2, "updated": 0}
+    got = run_batch(mail(5, 7, 9), s)
+    assert got["bronze"] == 1 and got["dropped"] == 0 and got["gold"] == {"inserted": 1, "updated": 0}
+    blank = mail(11).withColumn("message_id", F.lit(" "))
+    got = run_batch(blank.unionByName(mail(12)), s)
+    assert (got["bronze"], got["dropped"], got["gold"]) == (2, 1, {"inserted": 1, "updated": 0})
+    s.expire()
+    assert run_batch(mail(5, 7, 9, 11, 12), s)["bronze"] == 0

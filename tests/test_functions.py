@@ -208,3 +208,16 @@ def test_subject_may_hold_the_separator(spark):
     row = spark.createDataFrame([("Deck \u0001Intern at Kite", "x@y.com"), ("Deck Intern at Kite", "x@y.com")], "s string, f string")
     got = row.select(*position_and_company(F.col("s"), F.col("f"))).collect()
     assert got[0][1] == got[1][1]
+
+
+def test_named_references_without_semicolon(spark):
+    """Every old name, alone and with letters, digits or a stop behind it, as the standard library reads it."""
+    import html
+
+    from triage.functions.html import LEGACY_VALUES, decode_references
+
+    texts = [name + tail for name in LEGACY_VALUES for tail in ("", "right", "7", " x", ";", ".", "=a", "&lt")]
+    texts += ["&copyright", "&notit; &notin; &notin", "&ampamp;", "&foo", "&foo;", "&", "&&amp", "a&b=c&reg=1", "&(x", "&am", "&sup2x&sup", "&CounterClockwiseContourIntegral;", "&" + "x" * 40]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(decode_references(F.col("t"))).collect()]
+    assert got == [html.unescape(t) for t in texts]

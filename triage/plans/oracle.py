@@ -9,7 +9,7 @@ Spark queries'. Python white space is spelled out as a class because RE2's
 
 from __future__ import annotations
 
-from triage.functions.html import ENTITY_VALUES
+from triage.functions.html import ENTITY_VALUES, LEGACY_PATTERN, LEGACY_VALUES
 from triage.schema import (
     ACCEPTANCE_PHRASES, DEFAULT_SUBJECT_TAG, EMAIL_ADDRESS_PATTERN, MONTHS_LONG, MONTHS_SHORT,
     REJECTION_PHRASES, SEARCH_KEYWORDS, SENDER_DOMAIN_PATTERN, STATUS_LABELS, SUBJECT_PATTERNS,
@@ -146,8 +146,10 @@ def html_text(x: str) -> tuple[str, str]:
     markup = ("(?is)" + "|".join(rf"<{el}\b.*?(?:</{el}\s*>|\z)" for el in ("script", "style", "template"))
               + r"|<!--.*?(?:-->|\z)|<[/!?a-zA-Z][^>]*>")
     s = f"regexp_replace({x}, {q(markup)}, ' ', 'g')"
-    token = r"(&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[A-Za-z][A-Za-z0-9]{0,31};|[^&]+|&)"
+    token = r"(&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[^\t\n\f <&#;]{1,32};?|[^&]+|&)"
     named = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in ENTITY_VALUES.items())
+    legacy = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in LEGACY_VALUES.items())
+    prefix = f"regexp_extract(t, {q(LEGACY_PATTERN)})"
 
     def cp(code):
         return (f"chr(CAST(CASE WHEN {code} = 0 OR ({code} >= 55296 AND {code} <= 57343) "
@@ -157,7 +159,8 @@ def html_text(x: str) -> tuple[str, str]:
     decv = "TRY_CAST(substr(t, 3, length(t) - 3) AS BIGINT)"
     one = (f"CASE WHEN t LIKE '&#x%' OR t LIKE '&#X%' THEN {cp(hexv)} "
            f"WHEN t LIKE '&#%' THEN {cp(decv)} "
-           f"WHEN t LIKE '&%;' THEN coalesce(CASE t {named} END, t) ELSE t END")
+           f"WHEN t LIKE '&%' THEN coalesce(CASE t {named} END, "
+           f"CASE {prefix} {legacy} END || substr(t, length({prefix}) + 1), t) ELSE t END")
     decoded = (f"CASE WHEN instr(s3, '&') > 0 THEN array_to_string(list_transform("
                f"regexp_extract_all(s3, {q(token)}, 1), lambda t: {one}), '') ELSE s3 END")
     return s, collapse(decoded)
@@ -246,16 +249,24 @@ pend AS (
 
 STATE = state(SILVER_COLS)
 
-# what the keys need, read once: no body, no silver row
-KEYS = f"""
-km AS MATERIALIZED (SELECT mailbox, uid, message_id FROM mb),
-{BOUNDS},
-ks AS (SELECT km.* FROM km WHERE coalesce({strip("message_id")} <> '', false)),
-kt AS (SELECT ks.* FROM ks, bounds WHERE ks.uid * 1000 <= bounds.lo * 400 + bounds.hi * 600),
-kb AS (SELECT ks.* FROM ks, bounds WHERE ks.uid * 1000 > bounds.lo * 600 + bounds.hi * 400)"""
+LOW, HIGH = "(SELECT min(event_id) + 1 FROM events)", "(SELECT max(event_id) + 1 FROM events)"
+IN_TARGET = f"uid * 1000 <= {LOW} * 400 + {HIGH} * 600"
+IN_BATCH = f"uid * 1000 > {LOW} * 600 + {HIGH} * 400"
 
-FLAG_COLS = ["message_id", "email_uid", "company_name", "position", "status", "date_received", "scraped_at", "alerta_enviado"]
-FLAGS = f"ns AS MATERIALIZED (SELECT uid, {', '.join(FLAG_COLS)} FROM sv),\n" + state(FLAG_COLS, "ns").strip()
+# what the keys need: no body, no silver row, one pass with windows in place of self-joins
+KEYS = f"""
+km AS MATERIALIZED (
+  SELECT mailbox, uid, message_id, coalesce({strip("message_id")} <> '', false) AS keyed, {IN_TARGET} AS in_target, {IN_BATCH} AS in_batch
+  FROM mb)"""
+
+FLAG_COLS = ["message_id", "email_uid", "status", "date_received", "scraped_at"]
+# the last row of each key, the batch's before the target's
+FLAGS = f"""
+ns AS MATERIALIZED (SELECT {', '.join(FLAG_COLS)}, {IN_TARGET} AS in_target, {IN_BATCH} AS in_batch FROM sv),
+lk AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY in_batch DESC, {DEDUP_ORDER}) AS _rn FROM ns WHERE in_target OR in_batch)
+  WHERE _rn = 1)"""
 
 OUTCOMES = """
 outc AS (
@@ -299,11 +310,16 @@ def build() -> dict[str, str]:
         "bronze_messages": w_mb + "SELECT mailbox, uid, email_id, message_id, sender, subject, date, body, scraped_at FROM mb",
         "search_keywords": w_mb + f"SELECT uid, subject FROM mb WHERE {kw_any}",
         "keyword_hits": w_mb + kw_rows,
-        "unseen_messages": w_keys + "SELECT uid, message_id FROM km WHERE NOT EXISTS (SELECT 1 FROM kt WHERE kt.message_id = km.message_id)",
+        "unseen_messages": w_keys + (
+            "SELECT uid, message_id FROM (SELECT *, bool_or(keyed AND in_target) OVER (PARTITION BY message_id) AS known FROM km) WHERE NOT (keyed AND known)"),
         "uid_watermark": w_keys + (
-            "SELECT km.mailbox, km.uid FROM km LEFT JOIN (SELECT mailbox, max(uid) AS last_uid FROM kt GROUP BY mailbox) m "
-            "ON km.mailbox = m.mailbox WHERE km.uid > coalesce(m.last_uid, 0)"),
+            "SELECT mailbox, uid FROM (SELECT *, max(uid) FILTER (WHERE keyed AND in_target) OVER (PARTITION BY mailbox) AS last_uid FROM km) "
+            "WHERE uid > coalesce(last_uid, 0)"),
+        "uid_gaps": w_keys + (
+            "SELECT mailbox, uid, message_id FROM (SELECT *, bool_or(keyed AND in_target) OVER (PARTITION BY mailbox, uid) AS known FROM km) WHERE NOT known"),
         "numeric_uid": w_mb + "SELECT email_id, TRY_CAST(trim(email_id) AS BIGINT) AS uid_num FROM mb WHERE TRY_CAST(trim(email_id) AS BIGINT) IS NOT NULL",
+        "uid_list_split": w_mb + (
+            "SELECT mailbox, uid // 50 AS block, TRY_CAST(trim(email_id) AS BIGINT) AS uid_num FROM mb WHERE TRY_CAST(trim(email_id) AS BIGINT) IS NOT NULL"),
         "drop_missing_id": w_mb + f"SELECT uid, email_id, substr(coalesce(subject, ''), 1, 60) AS subject_head FROM mb WHERE NOT coalesce({strip('message_id')} <> '', false)",
         "normalize_text": f"SELECT conv_id, turn, {normalize('text')} AS text_norm FROM conversations",
         "body_collapse": f"SELECT doc_id, {collapse('text')} AS text_collapsed FROM documents",
@@ -320,8 +336,7 @@ def build() -> dict[str, str]:
         "valid_email": w_mb + (f"SELECT uid, {addr} AS address, coalesce(regexp_matches({strip(addr)}, "
                                f"{q(EMAIL_ADDRESS_PATTERN)}), false) AS is_valid FROM mb"),
         "existing_keys": w_keys + (
-            "SELECT b.uid, b.message_id, (t.message_id IS NOT NULL) AS existed "
-            "FROM kb b LEFT JOIN (SELECT DISTINCT message_id FROM kt) t ON b.message_id = t.message_id"),
+            "SELECT uid, message_id, existed FROM (SELECT *, bool_or(in_target) OVER (PARTITION BY message_id) AS existed FROM km WHERE keyed) WHERE in_batch"),
         "upsert_counts": w_state + (
             "SELECT CAST(count_if(t.message_id IS NULL) AS BIGINT) AS inserted, "
             "CAST(count_if(t.message_id IS NOT NULL) AS BIGINT) AS updated "
@@ -329,7 +344,8 @@ def build() -> dict[str, str]:
         "upsert_merge": w_state + f"SELECT {_cols} FROM merged",
         "pending_alerts": w_state + "SELECT message_id, company_name, position, status, date_received FROM pend",
         "mark_alerted": w_flags + (
-            "SELECT message_id, status, (message_id IN (SELECT message_id FROM pend)) OR alerta_enviado AS alerta_enviado FROM merged"),
+            "SELECT message_id, status, status IN ('rejected', 'advanced') AND row_number() OVER (PARTITION BY status IN ('rejected', 'advanced') "
+            f"ORDER BY date_received DESC NULLS LAST, message_id) <= {LIMIT} AS alerta_enviado FROM lk"),
         "status_label": w_sv + f"SELECT uid, status, {status_label('status', '')} AS label FROM sv",
         "alert_payload": w_state + f"SELECT message_id, {payload('company_name', 'position', 'status')} AS payload FROM merged",
         "alert_subject": w_state + f"SELECT message_id, {alert_subject('company_name', 'status')} AS alert_subject FROM merged",
@@ -382,10 +398,12 @@ RUN = f"""
 trows AS (SELECT sv.* FROM sv, bounds WHERE sv.uid * 1000 <= bounds.lo * 400 + bounds.hi * 600),
 tg AS (SELECT {_cols} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn FROM trows) WHERE _rn = 1),
 marks AS (SELECT mailbox, max(uid) AS last_uid FROM trows GROUP BY mailbox),
-fetched AS (
+found AS (
   SELECT mb.* FROM mb LEFT JOIN marks m ON mb.mailbox = m.mailbox
-  WHERE ({_kw_any_sql}) AND TRY_CAST(trim(mb.email_id) AS BIGINT) IS NOT NULL
-    AND mb.uid > coalesce(m.last_uid, 0) AND coalesce({strip('mb.message_id')} <> '', false)
+  WHERE ({_kw_any_sql}) AND mb.uid > coalesce(m.last_uid, 0)
+),
+fetched AS (
+  SELECT * FROM found WHERE TRY_CAST(trim(email_id) AS BIGINT) IS NOT NULL AND coalesce({strip('message_id')} <> '', false)
 ),
 bs AS ({_silver_select('fetched')}),
 bd AS (SELECT {_cols} FROM (SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY {DEDUP_ORDER}) AS _rn FROM bs) WHERE _rn = 1),
@@ -403,7 +421,7 @@ pend AS (
 )"""
 
 RUN_SELECT = """
-SELECT CAST((SELECT count(*) FROM fetched) AS BIGINT) AS bronze,
+SELECT CAST((SELECT count(*) FROM found) AS BIGINT) AS bronze,
        CAST((SELECT count(*) FROM bs) AS BIGINT) AS silver,
        CAST((SELECT count_if(t.message_id IS NULL) FROM bs b LEFT JOIN tg t ON b.message_id = t.message_id) AS BIGINT) AS inserted,
        CAST((SELECT count_if(t.message_id IS NOT NULL) FROM bs b LEFT JOIN tg t ON b.message_id = t.message_id) AS BIGINT) AS updated,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from triage.operators import deliver as dlv
@@ -19,12 +19,27 @@ from triage.sources.handoff import write_handoff
 COUNTERS = ["bronze", "silver", "inserted", "updated", "notified", "failed", "fallback"]
 
 
+def found_new(mailbox: DataFrame, ingested: DataFrame) -> DataFrame:
+    """Messages a run finds: not seen, a subject keyword hit, a UID above the
+    mailbox's mark (F1, F2, F3)."""
+    return sr.above_watermark(sr.search(sr.not_seen(mailbox)), sr.watermarks(ingested))
+
+
+def fetchable():
+    """A numeric UID and a Message-ID."""
+    return sr.numeric_uid(F.col("email_id")).isNotNull() & key_present()
+
+
 def select_new(mailbox: DataFrame, ingested: DataFrame) -> DataFrame:
-    """Messages a run fetches: subject keyword hit, numeric UID above the
-    mailbox's mark, and a Message-ID (F1, F3, F4, F5)."""
-    marks = sr.watermarks(ingested)
-    hits = sr.search(sr.not_seen(mailbox)).where(sr.numeric_uid(F.col("email_id")).isNotNull())
-    return sr.above_watermark(hits, marks).where(key_present())
+    """Messages a run fetches: those it finds that are ``fetchable``."""
+    return found_new(mailbox, ingested).where(fetchable())
+
+
+def observed(found: DataFrame, kept) -> tuple[DataFrame, Observation]:
+    """``found`` with an observation of the rows found and dropped, counted by
+    whatever action reads them (F5, A3, A4): no pass of its own."""
+    watch = Observation()
+    return found.observe(watch, F.count(F.lit(1)).alias("found"), F.count_if(~kept).alias("dropped")), watch
 
 
 def _kv(df: DataFrame, names: list[str]) -> DataFrame:
@@ -45,11 +60,15 @@ def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit:
     The selected messages go through silver once and are written, together
     with the current gold rows, as this run's hand-off (tagged by side); every
     counter and the merge then read the written files, so nothing upstream
-    is computed twice and the lineage is cut. The 1-row partial results are
-    stacked into ``(k, v)`` rows and pivoted by one aggregation (no cross join).
+    is computed twice and the lineage is cut. ``bronze`` counts the messages
+    that the search found, observed by that write before those without a
+    numeric UID or a Message-ID are dropped; ``silver`` counts what was
+    written. The 1-row partial results are stacked into ``(k, v)`` rows and
+    pivoted by one aggregation (no cross join).
     """
     spark = mailbox.sparkSession
-    fetched = select_new(mailbox, ingested)
+    found, watch = observed(found_new(mailbox, ingested), fetchable())
+    fetched = found.where(fetchable())
     tagged = mg.tag(gold, to_silver(fetched).select(*SILVER_COLUMNS)).select(*RUN_COLUMNS, "_side")
     root = handoff_root or scratch_path(spark, "run")
     path = write_handoff(tagged, root, 0)
@@ -60,7 +79,7 @@ def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit:
     merged = mg.merge_tagged(run, columns=RUN_COLUMNS)
     outcomes = dlv.deliver(nt.pending_alerts(merged, limit), transport=transport)
     parts = [
-        _kv(batch_n.withColumn("bronze", F.col("silver")), ["bronze", "silver"]),
+        _kv(batch_n.withColumn("bronze", F.lit(watch.get["found"]).cast("bigint")), ["bronze", "silver"]),
         _kv(counts, ["inserted", "updated"]),
         _kv(nt.notify_counts(outcomes), ["notified", "failed", "fallback"]),
     ]
@@ -71,30 +90,33 @@ def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit:
 
 def run_batch(messages: DataFrame, store, transport=None, limit: int = 50,
               fallback_log: str | None = None, sender: str | None = None,
-              recipient: str | None = None, run_id: str | None = None) -> dict:
+              recipient: str | None = None, run_id: str | None = None, queue: bool = False) -> dict:
     """One whole run over parsed messages (``mailbox, uid`` + bronze columns,
     and if they come from ``mime.stamp`` their ``_error``): select the unseen
-    above each mailbox's mark, silver, upsert, put aside what can't be used,
-    advance the marks, notify. Returns ``{bronze, gold: {inserted, updated},
-    notify: {...}}``; ``store.quarantine()`` has what was put aside.
-
-    The marks move past a message only after it is in the store or in the
-    quarantine, so that a run that fails before leaves it to the next one."""
-    import time as _time
-
-    run_id = run_id or str(_time.time_ns())
-    fetched = sr.usable(sr.above_watermark(sr.not_seen(messages), store.marks()))
+    that are in no interval of UIDs read before, silver, upsert, put aside what
+    can't be used, record the UIDs, notify. Returns ``{bronze, dropped, gold:
+    {inserted, updated}, notify: {...}}``: the messages fetched, how many of
+    them could not be used (``store.quarantine()`` has those), and the counters
+    of the stages; the first two are observed by the write of the hand-off.
+
+    A message's UID is recorded only after it is in the store or in the
+    quarantine, so that a run that fails before leaves it to the next one. A
+    run that is repeated with its ``run_id`` replaces what it wrote."""
+    import uuid
+
+    run_id = run_id or uuid.uuid4().hex
+    new = sr.unfetched(sr.not_seen(messages), store.ingested_uids())
+    fetched, watch = observed(sr.usable(new), F.col("_reason").isNull())
     root = scratch_path(messages.sparkSession, "batch")
     path = write_handoff(fetched, root, 0)          # cut lineage: fetched once
     fetched = messages.sparkSession.read.schema(fetched.schema).parquet(path)
-    found = fetched.agg(F.count_if(F.col("_reason").isNull()).alias("good"), F.count("_reason").alias("bad")).first()
-    bronze_n = found["good"]
+    found, dropped = watch.get["found"], watch.get["dropped"]
     good = fetched.where(F.col("_reason").isNull())
-    gold = store.upsert(to_silver(good), stream="batch") if bronze_n else {"inserted": 0, "updated": 0}
-    if found["bad"]:
+    gold = store.upsert(to_silver(good), stream=f"run-{run_id}", batch_id=0) if found > dropped else {"inserted": 0, "updated": 0}
+    if dropped:
         store.put_aside(sr.rejects(fetched), run_id)
-    if bronze_n or found["bad"]:
-        store.advance_marks(fetched, run_id)
+    if found:
+        store.record_uids(fetched, run_id)
     notify = store.notify(transport=transport, limit=limit, fallback_log=fallback_log,
-                          sender=sender, recipient=recipient, run_id=run_id)
-    return {"bronze": bronze_n, "gold": gold, "notify": notify}
+                          sender=sender, recipient=recipient, run_id=run_id, queue=queue)
+    return {"bronze": found, "dropped": dropped, "gold": gold, "notify": notify}

@@ -23,7 +23,7 @@ from triage.operators import notify as nt
 from triage.operators import search as sr
 from triage.operators.silver import quarantine_missing_id, to_silver
 from triage.plans import fixture as fx
-from triage.schema import BRONZE_SCHEMA, SILVER_COLUMNS
+from triage.schema import BRONZE_SCHEMA, OUTCOME_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA, UPSERT_COLUMNS
 from triage.session import prepare
 from triage.sources import handoff, mime
 from triage.sources.mailbox import mailbox_view
@@ -62,11 +62,25 @@ def uid_watermark(spark, d):
     return sr.above_watermark(mailbox_view(spark, d), marks).select("mailbox", "uid")
 
 
+def uid_gaps(spark, d):
+    """What a run would fetch by UID intervals: also below the highest UID."""
+    read = sr.uid_intervals(fx.target_rows(spark, d))
+    return sr.unfetched(mailbox_view(spark, d), read).select("mailbox", "uid", "message_id")
+
+
 def numeric_uid(spark, d):
     mb = mailbox_view(spark, d).select("email_id", sr.numeric_uid(F.col("email_id")).alias("uid_num"))
     return mb.where(F.col("uid_num").isNotNull())
 
 
+def uid_list_split(spark, d):
+    """Search replies as a server gives them, one text of UIDs for each mailbox
+    and range of 50, split into their numeric UIDs."""
+    replies = (mailbox_view(spark, d).groupBy("mailbox", F.floor(F.col("uid") / 50).cast("bigint").alias("block"))
+               .agg(F.concat_ws(" ", F.collect_list("email_id")).alias("uids")))
+    return replies.select("mailbox", "block", F.explode(sr.parse_uid_list(F.col("uids"))).alias("uid_num"))
+
+
 def drop_missing_id(spark, d):
     return quarantine_missing_id(mailbox_view(spark, d), keep=("uid",))
 
@@ -211,23 +225,38 @@ def alert_json(spark, d):
 
 # -- delivery ------------------------------------------------------------------
 
-def _outcomes(spark, d) -> DataFrame:
-    pend = nt.pending_alerts(merged_gold(spark, d, ALERT_COLUMNS), ALERT_LIMIT)
-    return dlv.deliver(pend, transport=fx.answer_by_uid,
-                       policy=dlv.RetryPolicy(backoff_base=0.0),
-                       sender=ALERT_SENDER, recipient=ALERT_RECIPIENT)
+RUNS = 3
+
+
+def _ledger(spark, d) -> DataFrame:
+    """The ledger after three runs of the retry queue, an hour apart, over the
+    merged table's pending alerts, of the messages of the first run."""
+    from triage.session import materialize, scratch_path
+    from triage.sources.store import KeyedStore
+
+    gold = merged_gold(spark, d, [*ALERT_COLUMNS, "scraped_at"])
+    rows = gold.select(*(F.col(f.name) if f.name in gold.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in SILVER_SCHEMA.fields if f.name in UPSERT_COLUMNS))
+    store = KeyedStore(spark, scratch_path(spark, "queue"), buckets=8)
+    store.upsert(rows, stream="q", batch_id=0)
+    for hour in range(RUNS):
+        store.notify(fx.answer_by_uid, ALERT_LIMIT, sender=ALERT_SENDER, recipient=ALERT_RECIPIENT, queue=True,
+                     now=F.lit(f"2026-01-01 {hour:02d}:00:00").cast("timestamp_ntz"))
+    ledger = materialize(store.ledger(), "ledger")
+    first = ledger.where(F.col("run") == ledger.select(F.min("run")).scalar()).select("message_id")
+    return ledger.join(first, "message_id", "left_semi")
 
 
 def delivery_outcomes(spark, d):
-    return _outcomes(spark, d)
+    return nt.last_outcomes(_ledger(spark, d)).select(*OUTCOME_SCHEMA.fieldNames())
 
 
 def notify_counts(spark, d):
-    return nt.notify_counts(_outcomes(spark, d))
+    return nt.notify_counts(nt.last_outcomes(_ledger(spark, d)))
 
 
 def backoff_schedule(spark, d):
-    return dlv.backoff_schedule(_outcomes(spark, d), dlv.RetryPolicy())
+    return dlv.queue_schedule(_ledger(spark, d)).drop("delay_sec")
 
 
 # -- whole run, hand-off, MIME -------------------------------------------------
@@ -286,7 +315,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyword_hits": keyword_hits,
     "unseen_messages": unseen_messages,
     "uid_watermark": uid_watermark,
+    "uid_gaps": uid_gaps,
     "numeric_uid": numeric_uid,
+    "uid_list_split": uid_list_split,
     "drop_missing_id": drop_missing_id,
     "normalize_text": normalize_text_q,
     "body_collapse": body_collapse,
