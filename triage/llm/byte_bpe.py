@@ -16,6 +16,7 @@ in a text are ordinary text.
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -23,8 +24,13 @@ import numpy as np
 import pyarrow as pa
 
 from triage.llm import words as W
-from triage.llm.token_orc import CACHE, CACHE_CHARS, Known
+from triage.llm.token_orc import CACHE_CHARS, Known
 
+#: distinct chunks whose ids a worker keeps
+CACHE = 600_000
+
+#: a chunk that the split leaves whole: Latin letters, a space before them or not
+WHOLE = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
 _LETTER = np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
 _ASCII_OTHER = ~_LETTER
@@ -54,6 +60,7 @@ class ByteEncoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         with open(path) as f:
             made = json.load(f)
@@ -63,8 +70,28 @@ class ByteEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        # the library's character for each byte, read from characters that have it in UTF-8
+        self.byte_level = {b: level.pre_tokenize_str(chr(b))[0][0] for b in range(0x20, 0x7F)}
+        for c in range(0xC0, 0x250):
+            for b, x in zip(chr(c).encode(), level.pre_tokenize_str(chr(c))[0][0]):
+                self.byte_level[b] = x
         self.old, self.new = Known(), Known()
 
+    def chunks(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each chunk: by the library's BPE model where its split
+        would leave the chunk whole, else by the whole library."""
+        out: list = [None] * len(texts)
+        rest, model, level = [], self.tokenizer.model, self.byte_level
+        for i, x in enumerate(texts):
+            if WHOLE(x):
+                out[i] = [t.id for t in model.tokenize((x if x.isascii() else x.encode().decode("latin-1")).translate(level))]
+            else:
+                rest.append(i)
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
     def _turn(self) -> None:
         """Few large merges of the new chunks into the kept ones."""
         if len(self.new.keys) * 4 > len(self.old.keys) + 100_000:
@@ -93,7 +120,7 @@ class ByteEncoder:
         if len(todo):
             body = data.tobytes()
             spans = zip(starts[first[todo]].tolist(), ends[first[todo]].tolist())
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([body[s:e].decode() for s, e in spans], add_special_tokens=False)]
+            got = self.chunks([body[s:e].decode() for s, e in spans])
             n[todo] = [len(x) for x in got]
             ids = np.fromiter(chain.from_iterable(got), np.int32, int(n[todo].sum()))
             at[todo] = held + np.cumsum(n[todo]) - n[todo]

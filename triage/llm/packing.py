@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,11 +47,11 @@ from triage.llm.common import bound_batches, scratch_path
 
 WINDOW, END_ID = 1024, 0
 #: documents of a shard, and tokens of tails that a task gets on average
-SHARD_DOCS, TASK_TOKENS = 1024, 1 << 22
+SHARD_DOCS, TASK_TOKENS = 512, 1 << 22
 #: BM25's parameters
 K1, B = 1.2, 0.75
 #: bytes of text encoded together
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 #: sequence ids: task << SEQ_BITS | number; whole windows have their own range
 SEQ_BITS, WHOLE = 36, 1 << 62
 
@@ -74,6 +75,12 @@ class Postings:
         self.start = np.searchsorted(order[by_term], np.arange(len(self.of) + 1))
         self.doc, self.weight = doc[by_term], weight[by_term]
 
+    def keep(self, alive: np.ndarray) -> None:
+        """Take the other documents out of the postings."""
+        kept = alive[self.doc]
+        self.start = np.concatenate([[0], np.cumsum(kept)])[self.start]
+        self.doc, self.weight = self.doc[kept], self.weight[kept]
+
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of all documents of the shard for the terms of one."""
         terms = self.query[self.first[seed]:self.first[seed + 1]]
@@ -94,8 +101,11 @@ def fill(index: Postings, left: np.ndarray, window: int) -> Iterator[list[tuple[
     """Whole windows, as (document, tokens, score) in order, while the shard
     has enough tokens; ``left`` (tokens that each document has left) is worn
     down."""
-    rest, at, seed = int(left.sum()), 0, None
+    rest, at, seed, alive = int(left.sum()), 0, None, len(left)
     while rest >= window:
+        if 4 * (now := int(np.count_nonzero(left))) < 3 * alive:
+            index.keep(left > 0)
+            alive = now
         if seed is None:
             while not left[at]:
                 at += 1
@@ -186,10 +196,10 @@ def piece_schema(kind: str) -> str:
 
 
 def tokens(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int, window: int) -> DataFrame:
-    """(row, id, n, first, ids) of each row, written to the shared folder: a
-    number of the row, its tokens (two or four bytes each) and the sequence id
-    of its first whole window."""
-    spark = docs.sparkSession
+    """(row, id, n, first, whole, tail, bag) of each row, written to the
+    shared folder: a number of the row, the sequence id of its first whole
+    window, its ids (two or four bytes each) in whole windows and after them,
+    and the distinct ids with their counts (the end id apart)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -199,34 +209,77 @@ def tokens(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id:
         for whole in batches:
             for batch in W.pieces(whole, "_text", PIECE_BYTES):
                 flat, n = e.encode(W.column(batch, "_text"))
-                stops = np.cumsum(n)
-                ids = np.insert(flat, stops, end_id).astype(width(e.size))
+                ids = np.insert(flat, np.cumsum(n), end_id).astype(width(e.size))
                 n = n + 1
-                ends = np.concatenate([[0], np.cumsum(n)])
+                off = np.concatenate([[0], np.cumsum(n)])
                 firsts = next_id + np.cumsum(n // window) - n // window
                 next_id += int((n // window).sum())
-                body = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((ends * ids.itemsize).astype(np.int32)), pa.py_buffer(ids.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(len(n))), batch.column(0), pa.array(n), pa.array(firsts), body],
-                                                 ["row", "id", "n", "first", "ids"])
+                of, term, count = distinct(ids, off)
+                at = np.searchsorted(of, np.arange(len(n) + 1)).tolist()
+                term, count = term.astype(ids.dtype), count.astype(np.uint32)
+                cut = (off[1:] - n % window).tolist()
+                spans = list(zip(off[:-1].tolist(), cut, off[1:].tolist()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + np.arange(len(n))), batch.column(0), pa.array(n), pa.array(firsts),
+                     pa.array([ids[a:c].tobytes() for a, c, _ in spans], pa.binary()), pa.array([ids[c:z].tobytes() for _, c, z in spans], pa.binary()),
+                     pa.array([term[x:y].tobytes() + count[x:y].tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary())],
+                    ["row", "id", "n", "first", "whole", "tail", "bag"])
                 row += len(n)
 
-    path = scratch_path(spark, "packing-tokens")
-    out = rows.mapInArrow(run, f"row bigint, id {kind}, n bigint, first bigint, ids binary")
-    out.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(out.schema).parquet(path)
+    return zstd(rows.mapInArrow(run, f"row bigint, id {kind}, n bigint, first bigint, whole binary, tail binary, bag binary"), "packing-tokens")
+
+
+def zstd(df: DataFrame, name: str) -> DataFrame:
+    """``written``, more compressed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def width(size: int) -> type:
     return np.uint16 if size <= 1 << 16 else np.uint32
 
 
-def rows_of(batch: pa.RecordBatch, dtype) -> Iterator[tuple]:
-    """(row, ids) of a batch of ``tokens``."""
-    col = W.column(batch, "ids")
-    off = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1] if len(col) else np.zeros(1, np.int32)
+def values_of(batch: pa.RecordBatch, name: str, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """A binary column's values as one array, and where each row begins (in
+    bytes)."""
+    col = W.column(batch, name)
+    if not len(col):
+        return np.zeros(0, dtype), np.zeros(1, np.int64)
+    off = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
     data = col.buffers()[2]
-    for i in range(len(col)):
-        yield i, np.frombuffer(data, dtype, (off[i + 1] - off[i]) // np.dtype(dtype).itemsize, off[i])
+    size = np.dtype(dtype).itemsize
+    flat = np.frombuffer(data, dtype, (off[-1] - off[0]) // size, off[0]) if data is not None else np.zeros(0, dtype)
+    return flat, off - off[0]
+
+
+def bags_of(batch: pa.RecordBatch, dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, count) of the bags of a batch."""
+    raw, off = values_of(batch, "bag", np.uint8)
+    item = np.dtype(dtype).itemsize
+    k = np.diff(off) // (item + 4)
+    row = np.repeat(np.arange(len(k)), k)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
+
+    def at(start, size, kind):
+        places = (np.repeat(start, k) + nth * size)[:, None] + np.arange(size)
+        return raw[places].reshape(-1).view(kind)
+    return row, at(off[:-1], item, dtype).astype(np.int64), at(off[:-1] + k * item, 4, np.uint32)
+
+
+def distinct(flat: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, count) of the distinct ids of each row, without its end id."""
+    n = len(off) - 1
+    # row and id in one number, the smaller the faster sorted
+    kind, bits = (np.uint32, 16) if flat.dtype == np.uint16 and n <= 1 << 16 else (np.uint64, 32)
+    both = np.repeat(np.arange(n, dtype=kind) << kind(bits), np.diff(off)) | flat.astype(kind)
+    inner = np.ones(len(flat), bool)
+    inner[off[1:] - 1] = False
+    both = np.sort(both[inner])
+    first = np.flatnonzero(np.diff(both, prepend=~both[:1]))
+    count = np.diff(np.append(first, len(both)))
+    both = both[first]
+    return (both >> kind(bits)).astype(np.int64), (both & kind((1 << bits) - 1)).astype(np.int64), count
 
 
 def frequencies(made: DataFrame, size: int) -> np.ndarray:
@@ -237,44 +290,66 @@ def frequencies(made: DataFrame, size: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(size, np.int64)
         for b in batches:
-            for _, ids in rows_of(b, dtype):
-                df[np.unique(ids[:-1])] += 1
+            if b.num_rows:
+                df += np.bincount(bags_of(b, dtype)[1], minlength=size)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["term", "df"])
 
     out = np.zeros(size, np.int64)
     # a row for each id of the vocabulary at most
-    for r in made.select("ids").mapInArrow(run, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).toLocalIterator():
+    for r in made.select("bag").mapInArrow(run, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).toLocalIterator():
         out[r.term] = r.df
     return out
 
 
+def top_two(row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two terms of the most weight of each of ``n`` rows (ties: the
+    smaller term; none: -1); ``row`` ascends, and ``term`` within a row."""
+    out, weight = [], weight.copy()
+    for _ in range(2):
+        best = np.full(n, -1, np.int64)
+        if len(row):
+            starts = np.flatnonzero(np.diff(row, prepend=-1))
+            most = np.repeat(np.maximum.reduceat(weight, starts), np.diff(np.append(starts, len(row))))
+            at = np.flatnonzero((weight == most) & (weight >= 0))
+            rows, first = np.unique(row[at], return_index=True)
+            best[rows] = term[at[first]]
+            weight[at[first]] = -1.0
+        out.append(best)
+    return out[0], out[1]
+
+
 def keyed(made: DataFrame, shared, window: int, size: int) -> DataFrame:
-    """(a, b, salt, id, n, tail, bag) of the rows with a tail: the two terms
-    of the most weight, the tail's ids, and the terms and counts of the whole
-    row if it is longer than the tail."""
+    """(a, b, salt, id, n, tail, bag) of the rows with a tail, written: the
+    two terms of the most weight, the tail's ids, and the terms and counts of
+    the whole row if it is longer than the tail."""
     dtype = width(size)
     kind = made.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, mean = shared.value
         for b in batches:
-            tops, tails, bags = [], [], []
+            if not b.num_rows:
+                continue
             n = W.column(b, "n").to_numpy()
-            for i, ids in rows_of(b, dtype):
-                terms, tf = np.unique(ids[:-1], return_counts=True)
-                w = bm25(tf, idf[terms], np.full(len(terms), float(n[i])), mean)
-                top = np.argsort(-w, kind="stable")[:2]
-                tops.append([int(terms[t]) for t in top] + [-1] * (2 - len(top)))
-                tail = len(ids) - len(ids) % window
-                tails.append(ids[tail:].tobytes())
-                bags.append(np.concatenate([terms, tf]).astype(np.uint32).tobytes() if tail else None)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([t[0] for t in tops], pa.int32()), pa.array([t[1] for t in tops], pa.int32()), W.column(b, "salt"), W.column(b, "id"),
-                 W.column(b, "n"), pa.array(tails, pa.binary()), pa.array(bags, pa.binary())], ["a", "b", "salt", "id", "n", "tail", "bag"])
+            row, term, count = bags_of(b, dtype)
+            x, y = top_two(row, term, bm25(count.astype(np.float64), idf[term], n[row].astype(np.float64), mean), len(n))
+            # a short document's bag is found again from its tail
+            bag = pc.if_else(pa.array(n > window), W.column(b, "bag"), pa.scalar(None, pa.binary()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32()), pa.array(y, pa.int32()), *(W.column(b, c) for c in ("salt", "id", "n", "tail")), bag],
+                                             ["a", "b", "salt", "id", "n", "tail", "bag"])
+
+    rows = made.where(F.col("n") % window > 0).select("id", "n", "tail", "bag", F.xxhash64("row").alias("salt"))
+    # written, as a range sort reads its input twice
+    return zstd(rows.mapInArrow(run, f"a int, b int, salt bigint, id {kind}, n bigint, tail binary, bag binary"), "packing-tails")
+
 
-    rows = made.where(F.col("n") % window > 0).select("id", "n", "ids", F.xxhash64("row").alias("salt"))
-    return rows.mapInArrow(run, f"a int, b int, salt bigint, id {kind}, n bigint, tail binary, bag binary")
+def bag_of(ids: np.ndarray, bag: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and counts of a row of ``keyed``."""
+    if bag is None:
+        return np.unique(ids[:-1], return_counts=True)
+    n = len(bag) // (ids.itemsize + 4)
+    return np.frombuffer(bag, ids.dtype, n), np.frombuffer(bag, np.uint8)[n * ids.itemsize:].view(np.uint32)
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID,
@@ -295,7 +370,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             k = n // window
             row = np.repeat(np.arange(len(n)), k)
             nth = np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
-            ids = np.concatenate([*(x[:len(x) - len(x) % window] for _, x in rows_of(b, dtype)), np.zeros(0, dtype)]).astype(np.int32)
+            ids = values_of(b, "whole", dtype)[0].astype(np.int32)
             ends = np.arange(len(row) + 1, dtype=np.int32) * window
             yield pa.RecordBatch.from_arrays(
                 [W.column(b, "id").take(pa.array(row)), pa.array(nth * window), pa.array(np.full(len(row), window)), pa.array(n[row]),
@@ -309,11 +384,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             kind = b.schema.field("id").type
             for doc, n, tail, bag in zip(*(W.column(b, c).to_pylist() for c in ("id", "n", "tail", "bag"))):
                 ids = np.frombuffer(tail, dtype)
-                if bag is None:
-                    terms, tf = np.unique(ids[:-1], return_counts=True)
-                else:
-                    terms, tf = np.frombuffer(bag, np.uint32).reshape(2, -1)
-                shard.add((doc, n, ids, 0, terms, tf))
+                shard.add((doc, n, ids, 0, *bag_of(ids, bag)))
                 if len(shard.rows) >= shard_docs:
                     shard.pack(last=False)
                     yield shard.batch(kind)
@@ -321,7 +392,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             shard.pack(last=True)
             yield shard.batch(kind)
 
-    windows = made.where(F.col("n") >= window).mapInArrow(whole, piece_schema(kind))
+    windows = made.where(F.col("n") >= window).select("id", "n", "first", "whole").mapInArrow(whole, piece_schema(kind))
     parts = max(1, -(-(total.tails or 0) // task_tokens))
     order = ["a", "b", "salt"]
     tails = (keyed(made, shared, window, size).repartitionByRange(parts, *order).sortWithinPartitions(*order)
