@@ -264,6 +264,25 @@ def test_pii_adds_spans_that_labelers_agree_on(spark):
     assert share(0, "phone") > 0.9 and share(1, "email") > 0.9 and share(2, "email") == 1
 
 
+def test_pii_leaves_decoy_numbers_alone(spark):
+    """Numbers of a card's length with a wrong check digit are never added, whatever stands around them."""
+    rng = random.Random(6)
+
+    def number(ok):
+        while True:
+            n = [rng.choice([4, 5]), *(rng.randrange(10) for _ in range(15))]
+            total = sum(d if i % 2 else (2 * d - 9 if 2 * d > 9 else 2 * d) for i, d in enumerate(n))
+            if (total % 10 == 0) == ok:
+                return "".join(map(str, n))
+
+    rows = [(i, f"{prose(rng, 6)} {rng.choice(['', 'card: ', 'visa ', 'ref '])}{number(i % 3 == 0)} {prose(rng, 6)}") for i in range(300)]
+    rows += [(300 + i, f"{prose(rng, 6)} mail: bob{i} (at) site{i} (dot) com soon {i}.2.3.{400 + i} end") for i in range(60)]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: (r.b, r.s) for r in found.select("doc_id", pii.joined("base").alias("b"), pii.joined("spans").alias("s")).collect()}
+    assert all(got[i][0] == got[i][1] and ("card" in got[i][1]) == (i % 3 == 0) for i in range(300))
+    assert all("email" in got[i][1] and "ip" not in got[i][1] for i in range(300, 360))
+
+
 def test_em_learns_reliability():
     rng = random.Random(0)
     votes = {}

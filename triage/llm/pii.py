@@ -10,7 +10,9 @@ ranges, lengths), a gazetteer (top-level domains, issuer and country
 prefixes, reserved networks), words before the span that speak for or against
 it, and what it touches. Expectation-maximisation over the votes estimates
 each labeler's reliability for each kind, without labels, and with them the
-probability of every vote pattern. Those probabilities train the final span
+probability of every vote pattern. A failed check is decisive: such a span (a
+number of a card's length with a wrong check digit, say) is a known negative
+for the estimation and is never added. Those probabilities train the final span
 classifier (naive Bayes over hashed context words, span shape and length),
 and candidates that it accepts with ``ACCEPT`` are added to the base spans,
 leftmost first, where they overlap none.
@@ -43,6 +45,8 @@ KINDS = ("email", "ip", "card", "phone")
 BUCKETS = 512
 ACCEPT = 0.9
 ROUNDS = 40
+#: the place of the check among the votes
+CHECK = 1
 #: weight of EM's prior, as a share of a kind's spans
 PRIOR = 0.02
 
@@ -59,7 +63,8 @@ PHONE_LOCAL = r"(?<![0-9+().-])(?<![0-9)]\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x2
 
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # fixed values: gazetteers and context words
-TOP_DOMAINS = r"(?i)[.)\]}]\x20?(?:com|org|net|edu|gov|info|io|eu|de|fr|es|uk|us|it|nl|ch|at)$"
+TOP_DOMAINS = (r"(?i)[.)\]}]\x20?(?:com|org|net|edu|gov|int|mil|info|biz|name|pro|io|ai|app|dev|me|tv|cc|eu|de|fr|es|uk|us|it|nl|ch|at|be|lu|ie|pt|dk|se"
+               r"|no|fi|is|pl|cz|sk|hu|ro|bg|gr|hr|si|ee|lv|lt|ua|ru|tr|il|ae|sa|in|pk|cn|jp|kr|tw|hk|sg|my|th|id|ph|vn|au|nz|ca|mx|br|ar|cl|co|pe|za|ng|ke|eg|ma)$")
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|35|6011|65|30|36|38)"
 COUNTRY = r"^\+?\x20?(?:1|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])"
 RESERVED = r"^(?:0|127|255|22[4-9]|23[0-9])\."
@@ -165,16 +170,18 @@ def spotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             .withColumnRenamed("_id", id_col))
 
 
-def reliabilities(patterns: list[tuple[int, tuple[int, ...], int]]) -> dict[tuple[int, tuple[int, ...]], float]:
+def reliabilities(patterns: list[tuple[int, tuple[int, ...], int]], decisive: int | None = None) -> dict[tuple[int, tuple[int, ...]], float]:
     """EM over (kind, votes, count): two classes, each labeler with its own
     chance of each vote in each class. Starts from the majority of votes;
-    returns each pattern's probability."""
+    returns each pattern's probability. A vote against by the labeler
+    ``decisive`` settles the class."""
     out: dict[tuple[int, tuple[int, ...]], float] = {}
     by_kind: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
     for kind, v, n in patterns:
         by_kind[kind].append((v, n))
     for kind, rows in by_kind.items():
-        p = {v: 1 / (1 + math.exp(-sum(v))) for v, _ in rows}
+        known = {v for v, _ in rows if decisive is not None and v[decisive] < 0}
+        p = {v: 0.0 if v in known else 1 / (1 + math.exp(-sum(v))) for v, _ in rows}
         for _ in range(ROUNDS):
             total = sum(n for _, n in rows)
             prior = (sum(n * p[v] for v, n in rows) + 1) / (total + 2)
@@ -188,7 +195,7 @@ def reliabilities(patterns: list[tuple[int, tuple[int, ...], int]]) -> dict[tupl
                         seen[v[j]] += n * (p[v] if c else 1 - p[v])
                     for x in seen:
                         chance[j, c, x] = seen[x] / sum(seen.values())
-            p = {v: 1 / (1 + math.exp(-max(-30.0, min(30.0, math.log(prior / (1 - prior)) + sum(
+            p = {v: 0.0 if v in known else 1 / (1 + math.exp(-max(-30.0, min(30.0, math.log(prior / (1 - prior)) + sum(
                 math.log(chance[j, 1, x] / chance[j, 0, x]) for j, x in enumerate(v)))))) for v, _ in rows}
         out |= {(kind, v): q for v, q in p.items()}
     return out
@@ -200,7 +207,7 @@ def span_classifier(spans: DataFrame) -> tuple[list[float], list[float]]:
     spark = spans.sparkSession
     each = spans.select(F.explode("spans").alias("s")).select("s.kind", "s.votes", "s.features", "s.base")
     counts = each.groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()  # at most kinds x 3^labelers rows
-    chance = reliabilities(sorted((r.kind, tuple(r.votes), r.n) for r in counts))
+    chance = reliabilities(sorted((r.kind, tuple(r.votes), r.n) for r in counts), CHECK)
     if not chance:
         return [0.0] * len(KINDS), [0.0] * (len(KINDS) * BUCKETS)
     table = spark.createDataFrame([(k, list(v), p) for (k, v), p in chance.items()], "kind int, votes array<int>, p double")
@@ -232,7 +239,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ac
 
     plain = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
     base = F.array_sort(F.transform(F.filter("spans", lambda s: s["base"]), plain))
-    extra = F.array_sort(F.transform(F.filter("spans", lambda s: ~s["base"] & (margin(s) >= edge)), plain))
+    extra = F.array_sort(F.transform(F.filter("spans", lambda s: ~s["base"] & (F.get(s["votes"], F.lit(CHECK)) > 0) & (margin(s) >= edge)), plain))
     rows = spans.select(id_col, base.alias("base"), extra.alias("_extra"))
     clear = F.filter("_extra", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     rows = rows.withColumn("_extra", clear)
