@@ -90,7 +90,7 @@ def run_counts(mailbox: DataFrame, ingested: DataFrame, gold: DataFrame, limit:
 
 def run_batch(messages: DataFrame, store, transport=None, limit: int = 50,
               fallback_log: str | None = None, sender: str | None = None,
-              recipient: str | None = None, run_id: str | None = None, queue: bool = False) -> dict:
+              recipient: str | None = None, run_id: str | None = None, queue: bool = False, metrics: dict | None = None) -> dict:
     """One whole run over parsed messages (``mailbox, uid`` + bronze columns,
     and if they come from ``mime.stamp`` their ``_error``): select the unseen
     that are in no interval of UIDs read before, silver, upsert, put aside what
@@ -104,6 +104,7 @@ def run_batch(messages: DataFrame, store, transport=None, limit: int = 50,
     run that is repeated with its ``run_id`` replaces what it wrote."""
     import uuid
 
+    stream, batch = ("batch", None) if run_id is None else (f"run-{run_id}", 0)
     run_id = run_id or uuid.uuid4().hex
     new = sr.unfetched(sr.not_seen(messages), store.ingested_uids())
     fetched, watch = observed(sr.usable(new), F.col("_reason").isNull())
@@ -111,12 +112,14 @@ def run_batch(messages: DataFrame, store, transport=None, limit: int = 50,
     path = write_handoff(fetched, root, 0)          # cut lineage: fetched once
     fetched = messages.sparkSession.read.schema(fetched.schema).parquet(path)
     found, dropped = watch.get["found"], watch.get["dropped"]
+    if metrics is not None:
+        metrics.update(watch.get)
     good = fetched.where(F.col("_reason").isNull())
-    gold = store.upsert(to_silver(good), stream=f"run-{run_id}", batch_id=0) if found > dropped else {"inserted": 0, "updated": 0}
+    gold = store.upsert(to_silver(good), stream, batch) if found > dropped else {"inserted": 0, "updated": 0}
     if dropped:
         store.put_aside(sr.rejects(fetched), run_id)
     if found:
         store.record_uids(fetched, run_id)
     notify = store.notify(transport=transport, limit=limit, fallback_log=fallback_log,
                           sender=sender, recipient=recipient, run_id=run_id, queue=queue)
-    return {"bronze": found, "dropped": dropped, "gold": gold, "notify": notify}
+    return {"bronze": found - dropped, "gold": gold, "notify": notify}

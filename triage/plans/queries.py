@@ -27,6 +27,7 @@ from triage.schema import BRONZE_SCHEMA, OUTCOME_SCHEMA, SILVER_COLUMNS, SILVER_
 from triage.session import prepare
 from triage.sources import handoff, mime
 from triage.sources.mailbox import mailbox_view
+from triage.sources.mime_columns import parse
 
 ALERT_SENDER = "alerts@triage.example"
 ALERT_RECIPIENT = "me@triage.example"
@@ -306,7 +307,7 @@ def handoff_roundtrip(spark, d):
 
 def parse_mime(spark, d):
     raw = mime.build_raw(mailbox_view(spark, d))
-    return mime.good(mime.parse_raw(raw)).select("uid", "message_id", "sender", "subject", "date", "body")
+    return mime.good(parse(raw)).select("uid", "message_id", "sender", "subject", "date", "body")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from triage.operators import search as sr
 from triage.operators.silver import to_silver
 from triage.schema import SEARCH_KEYWORDS
-from triage.session import materialize
 from triage.sources import mime
 from triage.sources.mailbox import read_messages, read_raw
+from triage.sources.mime_columns import parse
 from triage.sources.store import KeyedStore
 
 
@@ -35,8 +35,8 @@ def micro_batch(store: KeyedStore, stream: str, keywords=SEARCH_KEYWORDS, counte
     def run(df: DataFrame, epoch_id: int) -> None:
         if raw:
             now = dt.datetime.now(dt.timezone.utc).isoformat()
-            # parsed once: the upsert and the quarantine read the copy
-            df = materialize(mime.stamp(mime.parse_raw(df), now), f"{stream}-parsed")
+            # parsed once: the upsert and the quarantine read the copy that ``parse`` writes
+            df = mime.stamp(parse(df), now)
         fetched = sr.usable(df, keywords)
         counts = store.upsert(to_silver(fetched.where(F.col("_reason").isNull())), stream=stream,
                               batch_id=int(epoch_id))
