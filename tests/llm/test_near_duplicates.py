@@ -100,18 +100,52 @@ def test_an_id_with_different_texts_loses_none(spark):
         [(1, a), (2, b), (3, c), (3, d), (0, c), (0, c), (4, ""), (5, "")])
 
 
-@pytest.mark.parametrize("link", [80, 67])
-def test_first_shingles_meet_when_linked(link):
+@pytest.mark.parametrize("link", [80, 67, 88])
+def test_rare_keys_meet_when_linked(spark, link):
+    """Whatever the counts of the shingles are, linked sets keep one in common."""
     rule, rng = jaccard_join.Rule(5, link), np.random.default_rng(4)
-    found = 0
-    for _ in range(600):
+    sets, pairs = [], []
+    for _ in range(400):
         x = np.unique(rng.integers(0, 1 << 63, int(rng.integers(2, 400))).astype(np.uint64))
         most = len(x) * (100 - link) // link + 1
         drop, add = int(rng.integers(0, most + 1)), int(rng.integers(0, most + 1))
         y = np.unique(np.concatenate([x[drop:], rng.integers(0, 1 << 63, add).astype(np.uint64)]))
-        known = np.unique(rng.choice(np.concatenate([x, y]), 20))
-        often = known, rng.integers(2, 9, len(known))
-        if jaccard_join.linked(np.array(max(len(x) - drop, 0)), len(x), len(y), rule) and not np.array_equal(x, y) and drop < len(x):
-            found += 1
-            assert {*jaccard_join.first_shingles(x, often, rule)} & {*jaccard_join.first_shingles(y, often, rule)}
-    assert found > 50
+        if drop < len(x) and jaccard_join.linked(np.array(len(x) - drop), len(x), len(y), rule) and not np.array_equal(x, y):
+            pairs.append((len(sets), len(sets) + 1))
+            sets += [x, y]
+    assert len(pairs) > 50
+    rows = [(i, int(k)) for i, x in enumerate(sets) for k in jaccard_join.single_shingles(x, rule)]
+    others = [(len(sets) + int(j), k) for _, k in rows[::3] for j in rng.integers(0, 50, rng.integers(0, 9))]
+    point = [(i, i, len(x)) for i, x in enumerate(sets)] + [(len(sets) + j, len(sets) + j, 100) for j in range(50)]
+    got = jaccard_join.rare_keys(spark.createDataFrame(rows + others, "uid long, key long"),
+                                 spark.createDataFrame(point, "uid long, point long, n long"), rule).collect()
+    kept = {}
+    for r in got:
+        kept.setdefault(r.point, set()).add(r.key)
+    assert all(kept[a] & kept[b] for a, b in pairs)
+    assert len(got) < len(rows + others)
+
+
+def passages(seed, docs):
+    """Texts of 120 words of their own and a passage of 30 that others have: a
+    fifth of the shingles, where two fifths (less what a draw by hash strays)
+    may be."""
+    rng = random.Random(seed)
+    shared = [[f"s{seed}x{i}y{j}" for j in range(30)] for i in range(max(docs // 40, 1))]
+    return [" ".join([f"w{seed}x{i}y{j}" for j in range(120)] + rng.choice(shared)) for i in range(docs)]
+
+
+@pytest.mark.parametrize("docs", [100, 800])
+def test_shared_passages_tie_no_texts(spark, docs):
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(passages(docs, docs))]
+    rows.append((docs, rows[0][1].replace("y7 ", "new ", 1), "en", "s", 1))
+    table = spark.createDataFrame(rows, DOCS)
+    rule = corpus_pipeline.NEAR
+    point = (jaccard_join.points(table, "doc_id", "text", rule).withColumnRenamed("id", "uid")
+             .withColumn("point", jaccard_join.F.col("uid")).cache())
+    keys = point.select("uid", jaccard_join.F.explode("regions").alias("key"))
+    got = jaccard_join.rare_keys(keys, point.select("uid", "point", "n"), rule)
+    assert {r.point for r in got.groupBy("key").agg(jaccard_join.F.collect_set("point").alias("p")).where("size(p) > 1")
+            .select(jaccard_join.F.explode("p").alias("point")).collect()} == {0, docs}
+    kept = corpus_pipeline.drop_near_duplicates(spark, table, "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(docs))

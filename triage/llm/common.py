@@ -46,15 +46,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again: cuts the
-    lineage and survives lost executors."""
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder (a new path, or ``path``) as Parquet
+    and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def id_text(col: str) -> Column:
     """A row's id as text; a null id counts as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

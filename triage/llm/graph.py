@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triage.llm.common import written
+from triage.llm.common import removed, scratch_path, written
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -28,11 +28,16 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 100) -> DataFrame:
     """(node, component) of every node of an edge, the component being its
     least node. Alternates large and small stars until nothing changes; each
-    round is written to the shared folder."""
+    round is written to the shared folder, and the one before it removed."""
+    spark = edges.sparkSession
     now = (edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a != b").distinct())
-    mark = None
+    mark, before = None, None
     for _ in range(most_rounds):
-        now = written(_stars(_stars(now, True), False), "components")
+        path = scratch_path(spark, "components")
+        now = written(_stars(_stars(now, True), False), "components", path)
+        if before:
+            removed(spark, before)
+        before = path
         found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if (found.n, found.h) == mark:
             break

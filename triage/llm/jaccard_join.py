@@ -20,10 +20,15 @@ is op5's, others are given by the caller. The join narrows regions of the space,
    non-empty projections or fewer, its empty ones count as well; m leaves
    room for that to be rare.) At a link below ``PARTS_LINK`` the parts would
    have two or three shingles, and a passage that many documents share would
-   tie them all. The regions are those of single shingles there: of sets x, y
-   that are linked, the first |x| - ceil(t |x|) + 1 and |y| - ceil(t |y|) + 1
-   shingles (t = 1 - r) in any fixed order have one in common; the order puts
-   shingles that are frequent in a bounded sample last. Points
+   tie them all. The regions are those of single shingles there. Of sets x, y
+   that are linked, a prefix of |x| - ceil(t |x|) + l shingles and one of
+   |y| - ceil(t |y|) + l in any fixed order have l in common (t = 1 - r). So
+   of each set ``KEY_SHARE`` hundredths are taken in the order of their hash,
+   and each is counted over all points; then each set leaves out the
+   l - 1 most frequent of its own (l: the least for any set of a size that it
+   may be linked with), and the least frequent common one still is in both.
+   A text is thus tied to no other by passages of up to two fifths of its
+   taken shingles (t = 0.8), however many texts share them. Points
    that share a region are tied to its least point; the connected
    components of these ties are the *regions* of the next level. No link
    crosses a region.
@@ -61,7 +66,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triage.llm import words as W
@@ -95,8 +100,8 @@ RULE = Rule(shingle=3, link=90)
 REGION_SHINGLES = 1_000_000
 #: so many keys of more than one point are broadcast; more are joined by a shuffle
 BROADCAST_KEYS = 1 << 19
-#: links below have regions by first shingles; documents of the sample for their order, frequent shingles kept of it
-PARTS_LINK, ORDER_DOCS, ORDER_SHINGLES = 90, 10_000, 1 << 18
+#: links below have regions by single shingles; of so many hundredths of a set
+PARTS_LINK, KEY_SHARE = 90, 40
 #: regions and pivots of a wave, and the cells of its tables (shingles times pivots, a byte each)
 WAVE_REGIONS, WAVE_PIVOTS, WAVE_CELLS = 16, 256, 64_000_000
 
@@ -172,37 +177,33 @@ def projections(x: np.ndarray, least: np.ndarray, rule: Rule = RULE) -> np.ndarr
     return np.concatenate(out).view(np.int64)
 
 
-def frequent(docs: DataFrame, text_col: str, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles (sorted) that occur in several documents of a sample, and in
-    how many."""
-    share = min(1.0, ORDER_DOCS / max(docs.count(), 1))
-    sample = docs.select(F.col(text_col).alias("_text")).where(unit_hash("_text", 5) < share)
+def single_shingles(x: np.ndarray, rule: Rule) -> np.ndarray:
+    """The shingles of a set that may be its regions: ``KEY_SHARE`` hundredths
+    of it, the first by hash."""
+    n = len(x)
+    if n < rule.smallest:
+        return np.zeros(0, np.int64)
+    most = max(n + (-n * rule.link // SCALE) + 1, -(-n * KEY_SHARE // SCALE))
+    return x[np.argpartition(W.mix(x), most - 1)[:most]].view(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in W.pieces(whole, "_text"):
-                sets = shingle_sets(W.column(b, "_text"), rule.shingle)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], ["x"])
 
-    rows = (sample.mapInArrow(run, "x bigint").groupBy("x").agg(F.count("*").alias("k")).where("k > 1")
-            .orderBy(F.desc("k"), "x").limit(ORDER_SHINGLES).collect())
-    x, k = np.array([r.x for r in rows], np.int64).view(np.uint64), np.array([r.k for r in rows], np.int64)
-    order = np.argsort(x)
-    return x[order], k[order]
+def spare(rule: Rule) -> Column:
+    """How many of the shingles of ``single_shingles`` a set of ``n`` leaves
+    out: one less than it has in common with any set linked to it. (A linked
+    set has t n shingles or more, and one of k shingles has k (KEY_SHARE + t - 1)
+    more in its prefix than it may lack of the other.)"""
+    more = max(KEY_SHARE + rule.link - SCALE, 0)
+    return F.expr(f"greatest(1, ({more} * (({rule.link} * n + {SCALE - 1}) div {SCALE}) + {SCALE - 1}) div {SCALE}) - 1")
 
 
-def first_shingles(x: np.ndarray, often: tuple[np.ndarray, np.ndarray], rule: Rule) -> np.ndarray:
-    """A point's regions by single shingles: the first ones in the order by
-    frequency in the sample, then hash."""
-    n = len(x)
-    if n < rule.smallest:
-        return np.zeros(0, np.int64)
-    known, k = often
-    count = np.zeros(n, np.int64)
-    if len(known):
-        i = np.minimum(np.searchsorted(known, x), len(known) - 1)
-        count = np.where(known[i] == x, k[i], 0)
-    return x[np.lexsort((W.mix(x), count))[:n + (-n * rule.link // SCALE) + 1]].view(np.int64)
+def rare_keys(keys: DataFrame, point: DataFrame, rule: Rule) -> DataFrame:
+    """(point, key) of the keys (uid, key) that are a set's regions: those of
+    several sets but for its ``spare`` most frequent ones. The rows of a key
+    are counted by a window, which spills; each set has many keys, so that
+    even one in all sets has a small part of the rows."""
+    several = keys.withColumn("k", F.count("*").over(Window.partitionBy("key"))).where("k > 1")
+    rank = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("k"), F.desc("key")))
+    return several.withColumn("rank", rank).join(point, "uid").where(F.col("rank") > spare(rule)).select("point", "key")
 
 
 def linked(inter: np.ndarray, a, b, rule: Rule = RULE) -> np.ndarray:
@@ -267,7 +268,6 @@ def join_region(sets: list[np.ndarray], rule: Rule = RULE) -> list[int]:
 def points(docs: DataFrame, id_col: str, text_col: str, rule: Rule = RULE) -> DataFrame:
     """(id, n, h1, h2, regions) of each document."""
     kind = docs.schema[id_col].dataType.simpleString()
-    often = None if rule.link >= PARTS_LINK else docs.sparkSession.sparkContext.broadcast(frequent(docs, text_col, rule))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = shells(1 << 10, rule)
@@ -277,7 +277,7 @@ def points(docs: DataFrame, id_col: str, text_col: str, rule: Rule = RULE) -> Da
                 if (most := max(map(len, sets), default=0)) >= least[-1]:
                     least = shells(2 * most, rule)
                 hashes = [set_hash(x) for x in sets]
-                keys = [first_shingles(x, often.value, rule) if often else projections(x, least, rule) for x in sets]
+                keys = [projections(x, least, rule) if rule.link >= PARTS_LINK else single_shingles(x, rule) for x in sets]
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([h[0] for h in hashes], pa.int64()),
@@ -428,12 +428,19 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     region_shingles: int = REGION_SHINGLES, rule: Rule = RULE) -> DataFrame:
     """(id, n_shingles, component_id) of each document, linked by ``rule``."""
     bound_batches(docs.sparkSession)
-    table = written(points(docs, id_col, text_col, rule), "points")
+    table = written(points(docs, id_col, text_col, rule).withColumn("uid", F.monotonically_increasing_id()), "points")
     same = ["h1", "h2", "n"]
-    point = written(table.where("n > 0").groupBy(*same).agg(F.min("id").alias("point")).where("point is not null"), "copies")
+    # a set's point is its least id; one of its rows, named by uid, gives its regions
+    one = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "uid")))
+    point = (table.where("n > 0").groupBy(*same).agg(one.alias("one")).where("one is not null")
+             .select(F.col("one.id").alias("point"), F.col("one.uid").alias("uid"), *same))
+    point = written(point, "copies")
     # regions of level 3, each tied to its least point
-    keys = (table.where("size(regions) > 0").join(point.select("point"), F.col("id") == F.col("point"))
-            .select("point", F.explode("regions").alias("key")))
+    keys = table.where("size(regions) > 0").join(point.select("uid", "point"), "uid")
+    if rule.link >= PARTS_LINK:
+        keys = keys.select("point", F.explode("regions").alias("key"))
+    else:
+        keys = rare_keys(keys.select("uid", F.explode("regions").alias("key")), point.select("uid", "point", "n"), rule)
     keys = written(keys, "keys")
     shared = keys.groupBy("key").agg(F.min("point").alias("least"), F.max("point").alias("most")).where("least != most").select("key", "least")
     shared = written(shared, "shared-keys")
@@ -441,7 +448,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         shared = F.broadcast(shared)
     ties = keys.join(shared, "key").where("point != least").select(F.col("point").alias("a"), F.col("least").alias("b")).distinct()
     region = written(components(ties).select(F.col("node").alias("point"), F.col("component").alias("region")), "regions")
-    size = (region.join(point, "point").select("region", "point", "n"))
+    size = region.join(point.groupBy("point").agg(F.sum("n").alias("n")), "point").select("region", "point", "n")
     total = size.groupBy("region").agg(F.sum("n").alias("total"))
     size = written(size.join(total, "region"), "region-sizes")
     text = docs.select(F.col(id_col).alias("point"), F.col(text_col).alias("text")).where("point is not null")
@@ -454,7 +461,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ties = join_large(rows.where(F.col("total") > region_shingles).select("region", "point", "n", "text"), rule)
         found = found.union(components(ties).select(F.col("node").alias("point"), "component"))
     found = found.groupBy("point").agg(F.min("component").alias("component")).where("point != component")
-    owner = point.join(found, "point", "left").select(
+    owner = point.drop("uid").join(found, "point", "left").select(
         *(F.col(c).alias(f"_{c}") for c in same), F.coalesce("component", "point").alias("_component"))
     joined = table.join(owner, [F.col(c) == F.col(f"_{c}") for c in same], "left")
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
