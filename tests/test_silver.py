@@ -63,3 +63,31 @@ def test_no_python_in_silver_plan(spark, make_bronze, sample_records):
     plan = to_silver(make_bronze(sample_records))._jdf.queryExecution().executedPlan().toString()
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "Exchange"):
         assert node not in plan
+
+
+def test_subject_patterns_run_only_on_subjects_that_can_match(spark):
+    """A pattern is not run where a word it needs is missing, and the groups
+    are those of the pattern itself on any subject."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from triage.functions.subject import FLAGS, candidate_columns, java_pattern, part_columns
+    from triage.functions.text import py_strip
+    from triage.schema import SUBJECT_PATTERNS
+
+    words = ["Application", "APPLİCATION", "for", "to", "at", "-", "–", "|", "intern", "Role", "Grab", "x:", ":", "a", "\x01", "", "\n"]
+    rng = random.Random(3)
+    rows = [("".join(rng.choice(words) + rng.choice([" ", "\x1c", ""]) for _ in range(rng.randint(0, 8))),) for _ in range(3000)]
+    s = spark.createDataFrame([*rows, ("Plain words",), (None,)], "s string")
+    parts = part_columns(F.col("s"))
+    for row in s.where("s = 'Plain words' OR s IS NULL").select(*(c.alias(k) for k, c in parts.items())).collect():
+        assert list(row) == [None] * 4
+    got, subj = candidate_columns(F.col("s")), F.coalesce("s", F.lit(""))
+    wrong = []
+    for i, (pattern, pos, comp) in enumerate(SUBJECT_PATTERNS, start=1):
+        whole = FLAGS + "^(?s:.*?)(?:" + java_pattern(pattern) + ")(?s:.*)$"
+        for k, group in ((f"_p{i}", pos), (f"_c{i}", comp)):
+            wrong.append(F.count_if(~got[k].eqNullSafe(py_strip(F.regexp_extract(subj, whole, group)))))
+        wrong.append(F.when(F.count_if(got[f"_p{i}"] != "") == 0, 1).otherwise(0))
+    assert sum(s.select(*(c.alias(f"w{n}") for n, c in enumerate(wrong))).first()) == 0
