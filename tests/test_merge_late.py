@@ -1,0 +1,56 @@
+"""Merge by elected places: the rows of ``merge_tagged``, and no body in a shuffle."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from triage.operators import merge as mg
+from triage.plans import queries as Q
+from triage.schema import SILVER_COLUMNS, SILVER_SCHEMA
+
+SF = "/root/testdata/sf0.001"
+
+
+def tagged_rows(spark):
+    """(place, key, uid, flag, side): updates, inserts, level rows in one place
+    and in two, a set flag, keys of one side, null order fields."""
+    rows = [(1, "a", "1", False, 0), (2, "a", "2", False, 1), (3, "a", "3", False, 1),
+            (4, "b", "4", True, 0), (5, "b", "5", False, 1),
+            (6, "c", "6", True, 0), (7, "d", "7", None, 0),
+            (8, "e", "8", False, 1), (8, "e", "8", False, 1),
+            (9, "f", "9", False, 0), (9, "f", "9", False, 0),
+            (10, "g", "9", True, 0), (10, "g", "9", True, 0), (10, "g", "9", True, 1), (10, "g", "9", True, 1),
+            (11, "h", None, False, 0), (None, "i", None, False, 1), (12, "j", "1", False, 0), (13, "j", "1", False, 0),
+            (14, None, "14", True, 0), (15, None, "15", False, 1)]
+    df = spark.createDataFrame(rows, "place bigint, message_id string, email_uid string, alerta_enviado boolean, _side int")
+    at = F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz")
+    return df.select("place", "_side", *[
+        c if c in df.columns else at.alias(c) if c == "scraped_at" else F.col("place").cast("string").cast(SILVER_SCHEMA[c].dataType).alias(c)
+        for c in SILVER_COLUMNS if c != "date_received"], at.alias("date_received")).select("place", *SILVER_COLUMNS, "_side")
+
+
+def test_same_rows_as_the_merge_by_bodies(spark):
+    tagged = tagged_rows(spark)
+
+    def read(side, places):
+        return tagged.where(F.col("_side") == side).join(places, tagged["place"].eqNullSafe(places["place"]), "left_semi")
+
+    late = mg.merge_late(tagged, ["place"], read)
+    assert late.columns == SILVER_COLUMNS
+    either = ["body_clean", "sender", "sender_domain", "company_name", "position", "subject", "status"]  # of "j" either is last
+    want = mg.merge_tagged(tagged)
+    got, want = ({r["message_id"]: r.asDict() for r in d.collect()} for d in (late, want))
+    assert late.count() == len(got) == 11
+    for r in (got["j"], want["j"]):
+        assert r["body_clean"] in ("12", "13")
+        r.update(dict.fromkeys(either))
+    assert got == want
+
+
+def test_elected_messages_get_their_bodies_after_the_merge(spark):
+    plan = Q.upsert_merge(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert any("Union" in line for line in plan.splitlines()[:4])
+    # the one aggregate over bodies is that of places with several rows or a set flag
+    assert plan.count("partial_max_by") == 1 and plan.count("LeftSemi") == 4
