@@ -221,3 +221,26 @@ def test_named_references_without_semicolon(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r[0] for r in df.orderBy("i").select(decode_references(F.col("t"))).collect()]
     assert got == [html.unescape(t) for t in texts]
+
+
+def test_a_text_is_classified_by_one_pass_over_parts_of_phrases(spark):
+    from functools import reduce
+
+    from triage.functions.classify import PARTS, PARTS_PATTERN, classify_text
+    from triage.schema import ACCEPTANCE_PHRASES, REJECTION_PHRASES
+
+    phrases = [*REJECTION_PHRASES, *ACCEPTANCE_PHRASES]
+    assert set(PARTS) == set(phrases) and all(part in phrase for phrase, part in PARTS.items())
+    ends = {part[i:] for part in PARTS.values() for i in range(1, len(part))}
+    assert not any(part.startswith(end) for part in PARTS.values() for end in ends)  # no match hides another
+    cut = [p[1:] for p in phrases] + [p[:-1] for p in phrases] + [*PARTS.values(), "", " ", "\u00e9x", "pted", "cret", "\ud83d\ude00"]
+    texts = [None] + [a + mid + b for a in phrases + cut for b in phrases + cut for mid in ("", " ", a[:1])]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+
+    def plain(ps):
+        return reduce(lambda a, b: a | b, [F.col("t").contains(p) for p in ps])
+
+    want = F.when(plain(REJECTION_PHRASES), "rejected").when(plain(ACCEPTANCE_PHRASES), "advanced").otherwise("unknown")
+    assert df.where(classify_text(F.col("t")) != want).isEmpty()
+    held = df.select("t", F.regexp_extract_all("t", F.lit(PARTS_PATTERN), F.lit(0)).alias("h")).collect()
+    assert all((part in r["t"]) <= (part in r["h"]) for r in held if r["t"] for part in PARTS.values())
