@@ -244,3 +244,42 @@ def test_a_text_is_classified_by_one_pass_over_parts_of_phrases(spark):
     assert df.where(classify_text(F.col("t")) != want).isEmpty()
     held = df.select("t", F.regexp_extract_all("t", F.lit(PARTS_PATTERN), F.lit(0)).alias("h")).collect()
     assert all((part in r["t"]) <= (part in r["h"]) for r in held if r["t"] for part in PARTS.values())
+
+
+def test_a_text_is_classified_in_any_case_without_a_lower_cased_copy(spark):
+    import random
+    from functools import reduce
+
+    from triage.functions.classify import classify_status, classify_text
+    from triage.schema import ACCEPTANCE_PHRASES, REJECTION_PHRASES
+
+    phrases = [*REJECTION_PHRASES, *ACCEPTANCE_PHRASES]
+    assert not any("k" in p or p.endswith("i") for p in phrases)  # their other capitals are not looked for
+    rng = random.Random(7)
+    odd = ["\u212a", "\u0130", "\u0131", "\u017f", "\u03a3", "\u00c9", "\ufb01", "\U0001f600", "\n", " ", "of", "Vice", "grC", ""]
+    texts = []
+    for p in phrases:
+        for _ in range(60):
+            mixed = "".join(rng.choice([c.lower(), c.upper()]) for c in p)
+            at = rng.randrange(len(p))
+            put = rng.choice([mixed, mixed, mixed[:at] + rng.choice(odd) + mixed[at + rng.randint(0, 1):], mixed.replace("i", "\u0130").replace("s", "\u017f")])
+            texts.append(rng.choice(odd) + rng.choice([mixed[at:], put]) + rng.choice(odd) + put + rng.choice(odd) + rng.choice(phrases)[1:].upper())
+    df = spark.createDataFrame([(t,) for t in [None, "", *texts]], "t string")
+
+    def plain(ps):
+        return reduce(lambda a, b: a | b, [F.lower("t").contains(p) for p in ps])
+
+    want = F.when(plain(REJECTION_PHRASES), "rejected").when(plain(ACCEPTANCE_PHRASES), "advanced").otherwise("unknown")
+    assert df.where(classify_text(F.col("t")) != want).collect() == []
+    assert df.select(want.alias("w")).distinct().count() == 3
+    split = df.select(classify_status(F.lit("S"), F.col("t")).alias("s"), classify_text(F.concat(F.lit("S "), F.coalesce("t", F.lit("")))).alias("w"))
+    assert split.where("s <> w").isEmpty()
+    assert "lower(" not in df.select(classify_status(F.lit("S"), F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_two_capitals_beyond_ascii_have_ascii_letters_in_their_lower_case(spark):
+    """What the classifier's patterns rely on: the Kelvin sign and the dotted capital I, no others."""
+    points = spark.range(128, 0x110000).where("id < 55296 OR id > 57343")
+    utf32 = F.unhex(F.lpad(F.hex("id"), 8, "0"))
+    df = points.select(F.decode(utf32, "UTF-32").alias("c"))
+    assert sorted(r[0] for r in df.where(F.lower("c").rlike("[a-z]")).collect()) == ["\u0130", "\u212a"]
