@@ -46,3 +46,11 @@ def test_mailbox_is_a_shuffle_join_that_aqe_can_split(spark):
 
     p = plan(mailbox_view(spark, SF))
     assert "ShuffledHashJoin" in p and "ENSURE_REQUIREMENTS" in p and "REPARTITION_BY_NUM" not in p
+
+
+def test_alert_queries_run_no_method_too_long_to_be_compiled(spark):
+    """A stage whose generated method is over the JVM's limit runs operator by operator."""
+    for q in (Q.pending_alerts, Q.alert_payload_q, Q.silver_messages):
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        q(spark, SF)
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
