@@ -47,3 +47,30 @@ def test_stream_equals_batch(spark, tmp_root):
     a = sorted(tuple(r) for r in streamed.gold().collect())
     b = sorted(tuple(r) for r in batch.gold().collect())
     assert len(a) > 0 and a == b
+
+
+def test_a_micro_batch_without_rejects_is_read_once(spark, tmp_root, make_bronze, sample_records):
+    from triage.streaming.ingest import micro_batch
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    def counted(records):
+        df = make_bronze(records)
+        return df.mapInArrow(count, df.schema)
+
+    store, counters = KeyedStore(spark, f"{tmp_root}/once"), []
+    run = micro_batch(store, "mail", counters=counters)
+    run(counted(sample_records[:2]), 0)
+    assert seen.value == 2 and counters == [(0, {"inserted": 2, "updated": 0})]
+    assert store.quarantine().count() == 0 and [k for k in store.log.table("quarantine").rows] == [("mail-0",)]
+    blank = dict(sample_records[0], message_id=" ", email_id="77")
+    run(counted([sample_records[1], blank]), 1)
+    assert counters[1] == (1, {"inserted": 0, "updated": 1})
+    assert [(r.email_id, r.reason, r.run_id) for r in store.quarantine().collect()] == [("77", "missing_message_id", "mail-1")]
+    run(counted([sample_records[1]]), 1)  # a replay replaces what was put aside
+    assert store.quarantine().count() == 0

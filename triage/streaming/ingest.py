@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from triage.operators import search as sr
 from triage.operators.silver import to_silver
+from triage.plans.pipeline import observed
 from triage.schema import SEARCH_KEYWORDS
 from triage.sources import mime
 from triage.sources.mailbox import read_messages, read_raw
@@ -37,10 +38,12 @@ def micro_batch(store: KeyedStore, stream: str, keywords=SEARCH_KEYWORDS, counte
             now = dt.datetime.now(dt.timezone.utc).isoformat()
             # parsed once: the upsert and the quarantine read the copy that ``parse`` writes
             df = mime.stamp(parse(df), now)
-        fetched = sr.usable(df, keywords)
+        # the upsert's write counts what can't be used; the batch is read again only if there is any
+        fetched, watch = observed(sr.usable(df, keywords), F.col("_reason").isNull())
         counts = store.upsert(to_silver(fetched.where(F.col("_reason").isNull())), stream=stream,
                               batch_id=int(epoch_id))
-        store.put_aside(sr.rejects(fetched), f"{stream}-{int(epoch_id)}")
+        rejects = sr.rejects(fetched) if watch.get["dropped"] else sr.rejects(fetched).limit(0)
+        store.put_aside(rejects, f"{stream}-{int(epoch_id)}")
         if counters is not None:
             counters.append((int(epoch_id), counts))
 
