@@ -24,6 +24,7 @@ from triage.operators import search as sr
 from triage.operators.silver import to_silver
 from triage.plans.pipeline import observed
 from triage.schema import SEARCH_KEYWORDS
+from triage.session import materialize
 from triage.sources import mime
 from triage.sources.mailbox import read_messages, read_raw
 from triage.sources.mime_columns import parse
@@ -36,8 +37,8 @@ def micro_batch(store: KeyedStore, stream: str, keywords=SEARCH_KEYWORDS, counte
     def run(df: DataFrame, epoch_id: int) -> None:
         if raw:
             now = dt.datetime.now(dt.timezone.utc).isoformat()
-            # parsed once: the upsert and the quarantine read the copy that ``parse`` writes
-            df = mime.stamp(parse(df), now)
+            # parsed once: the upsert and the quarantine read the copy
+            df = mime.stamp(materialize(parse(df), "parsed"), now)
         # the upsert's write counts what can't be used; the batch is read again only if there is any
         fetched, watch = observed(sr.usable(df, keywords), F.col("_reason").isNull())
         counts = store.upsert(to_silver(fetched.where(F.col("_reason").isNull())), stream=stream,
